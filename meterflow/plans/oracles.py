@@ -511,4 +511,5 @@ ORACLES = {
     "stream_zone_windows": ZONE_WINDOWS,
     "stream_zone_delta": ZONE_DELTA,
     "stream_ema_anomaly": EMA_FLAGS,
+    "stream_zone_full": ask(FULL, "SELECT * FROM win"),
 }

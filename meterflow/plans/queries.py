@@ -14,11 +14,9 @@ from meterflow.sources import readings as src
 from meterflow.sources.readings import ORDER, readings
 from meterflow.storage import scratch_path
 from meterflow.streaming import anomaly as stream_anomaly
-from meterflow.streaming.sinks import start_upsert
+from meterflow.streaming.sinks import start_log
 from meterflow.streaming.sources import parse_messages, read_stream, replay_readings
-from meterflow.streaming.windows import (
-    read_window_deltas, read_windows, stream_window_parts,
-)
+from meterflow.streaming.windows import read_window_deltas, read_windows, start_window_log
 
 QUERIES = {}
 
@@ -68,7 +66,7 @@ def src_stream_replay(spark, sf):
     topic, out = scratch_path(spark, "topic"), scratch_path(spark, "replayed")
     _json(spark, sf, []).write.text(topic)
     stream = parse_messages(read_stream(spark, "files", path=topic))
-    start_upsert(stream, out, scratch_path(spark, "offsets"), mode="append").awaitTermination()
+    start_log(stream, out, scratch_path(spark, "offsets")).awaitTermination()
     return spark.read.parquet(out).select(
         "event_id", "meter_id", "zone_id", "customer_type", "reading_ts", "kwh_delta", "power_kw",
         "meter_state", "event_type")
@@ -507,28 +505,44 @@ def load_latency(spark, sf):
 
 # --- streams, drained to a table ---------------------------------------------
 
-def _stream_parts(spark: SparkSession, sf: str) -> str:
-    out = scratch_path(spark, "window-parts")
-    parts = stream_window_parts(replay_readings(spark, sf))
-    start_upsert(parts, out, scratch_path(spark, "offsets")).awaitTermination()
+def _window_log(spark: SparkSession, sf: str) -> str:
+    out = scratch_path(spark, "window-log")
+    stream = replay_readings(spark, sf)
+    start_window_log(stream, out, scratch_path(spark, "offsets")).awaitTermination()
+    return out
+
+
+def _flag_log(spark: SparkSession, sf: str) -> str:
+    out = scratch_path(spark, "flags")
+    flags = stream_anomaly.stream_ema_anomaly(replay_readings(spark, sf))
+    start_log(flags, out, scratch_path(spark, "offsets")).awaitTermination()
     return out
 
 
 @query
 def stream_zone_windows(spark, sf):
     expected = windows.expected_meters(readings(spark, sf))
-    return read_windows(spark, _stream_parts(spark, sf), expected=expected)
+    return read_windows(spark, _window_log(spark, sf), expected=expected)
 
 
 @query
 def stream_zone_delta(spark, sf):
-    return read_window_deltas(spark, _stream_parts(spark, sf)).select(
+    return read_window_deltas(spark, _window_log(spark, sf)).select(
         "zone_id", "window_start_ts", "total_kwh", "demand_vs_prev_window_pct")
 
 
 @query
 def stream_ema_anomaly(spark, sf):
-    out = scratch_path(spark, "flags")
-    flags = stream_anomaly.stream_ema_anomaly(replay_readings(spark, sf))
-    start_upsert(flags, out, scratch_path(spark, "offsets"), mode="append").awaitTermination()
-    return spark.read.parquet(out).select("event_id", "meter_id", "reading_ts", "is_anomaly_ema")
+    return spark.read.parquet(_flag_log(spark, sf)).select(
+        "event_id", "meter_id", "reading_ts", "is_anomaly_ema")
+
+
+@query
+def stream_zone_full(spark, sf):
+    flagged = spark.readStream.schema(stream_anomaly.FLAGGED).parquet(
+        f"{_flag_log(spark, sf)}/batch_id=*")
+    out = scratch_path(spark, "window-log")
+    start_window_log(
+        flagged, out, scratch_path(spark, "offsets"), anomaly="is_anomaly_ema").awaitTermination()
+    expected = windows.expected_meters(readings(spark, sf))
+    return read_window_deltas(spark, out, expected=expected, with_anomalies=True)

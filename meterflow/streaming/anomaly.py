@@ -1,4 +1,4 @@
-"""The hourly moving average over a stream, with one baseline of state per key."""
+"""The hourly moving average over a stream, with the baselines of a meter as state."""
 
 from collections.abc import Iterator
 
@@ -10,10 +10,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from meterflow.operators.anomaly import ema_step
 from meterflow.schema import EMA_ALPHA, EMA_THRESHOLD
 
-OUT = (
+READING = (
     "event_id string, meter_id string, zone_id string, reading_ts timestamp_ntz, "
-    "kwh_delta double, is_anomaly_ema boolean, ema_baseline double"
+    "kwh_delta double, voltage double, power_kw double, power_factor double, "
+    "frequency_hz double, meter_state string"
 )
+FLAGGED = f"{READING}, is_anomaly_ema boolean, ema_baseline double"
+COLUMNS = [field.split()[0] for field in READING.split(", ")]
 
 
 def stream_ema_anomaly(
@@ -22,27 +25,24 @@ def stream_ema_anomaly(
 ) -> DataFrame:
     """Flag each reading of a stream; the readings of a micro-batch run in time order.
 
-    A group holds the new readings of one meter and hour of day in one
-    micro-batch, which the limits of the source keep small.
+    A group holds the new readings of one meter in one micro-batch, which the
+    limits of the source keep small. Its state is a baseline per hour of day.
     """
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames)).sort_values(["reading_ts", "seq"])
-        baseline = state.get[0] if state.exists else None
+        baselines = list(state.get[0]) if state.exists else [None] * 24
         flags, after = [], []
-        for x in rows["kwh_delta"].tolist():
-            baseline, flagged = ema_step(baseline, x, alpha, threshold)
+        for hour, x in zip(rows["ema_hour"].tolist(), rows["kwh_delta"].tolist()):
+            baselines[hour], flagged = ema_step(baselines[hour], x, alpha, threshold)
             flags.append(flagged)
-            after.append(baseline)
-        state.update((baseline,))
-        names = ["event_id", "meter_id", "zone_id", "reading_ts", "kwh_delta"]
-        yield rows[names].assign(is_anomaly_ema=flags, ema_baseline=after)
+            after.append(baselines[hour])
+        state.update((baselines,))
+        yield rows[COLUMNS].assign(is_anomaly_ema=flags, ema_baseline=after)
 
     fed = stream.select(
-        "event_id", "meter_id", "zone_id", "reading_ts", "kwh_delta", F.col(seq).alias("seq"),
-        F.hour("reading_ts").alias("ema_hour"))
+        *COLUMNS, F.col(seq).alias("seq"), F.hour("reading_ts").alias("ema_hour"))
     return (
-        fed.filter(F.col("kwh_delta").isNotNull())
-        .groupBy("meter_id", "ema_hour")
+        fed.filter(F.col("kwh_delta").isNotNull()).groupBy("meter_id")
         .applyInPandasWithState(
-            run, OUT, "ema_baseline double", "append", GroupStateTimeout.NoTimeout)
+            run, FLAGGED, "baselines array<double>", "append", GroupStateTimeout.NoTimeout)
     )

@@ -1,16 +1,25 @@
-"""Zone windows over a stream."""
+"""Zone windows over a stream.
 
-from pyspark.sql import DataFrame, SparkSession
+Both ways keep sums per zone, window and meter. The distinct meters of a window
+are then the rows of it, so nothing grows with the fleet of a zone, and a busy
+zone or meter is pre-aggregated before any shuffle.
+"""
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from meterflow.functions.numbers import kwh_units, round_half_up
-from meterflow.functions.times import as_instant, as_wall_time, check_window, seconds_interval
+from meterflow.functions.times import (
+    as_instant, as_wall_time, check_window, floor_window, seconds_interval,
+)
 from meterflow.operators.windows import Expected, in_window_order, with_demand_delta, with_silent
 from meterflow.schema import WINDOW_SECONDS
-from meterflow.streaming.sinks import read_latest
+from meterflow.streaming.sinks import start_log
 
 PART_KEYS = ["zone_id", "window_start_ts", "meter_id"]
+SUMS = ["units", "readings", "kw_sum", "pf_sum", "volt_sum", "hz_sum", "degraded", "fault",
+        "anomalies"]
 PART_SCHEMA = (
     "zone_id string, window_start_ts timestamp_ntz, meter_id string, units long, readings long, "
     "kw_sum double, kw_max double, pf_sum double, volt_sum double, hz_sum double, "
@@ -18,47 +27,86 @@ PART_SCHEMA = (
 )
 
 
-def stream_window_parts(
+def start_window_log(
+    stream: DataFrame, path: str, checkpoint: str, seconds: int = WINDOW_SECONDS,
+    anomaly: str | None = None, **trigger,
+) -> StreamingQuery:
+    """Log the window parts of each micro-batch; `read_windows` adds them up.
+
+    Needs no state and no watermark: a reading counts in its own window however
+    late it comes, and the last windows are there without a flush.
+    """
+    check_window(seconds)
+
+    def parts(batch: DataFrame) -> DataFrame:
+        start = floor_window(F.col("reading_ts"), seconds).alias("window_start_ts")
+        return batch.groupBy("zone_id", start, "meter_id").agg(*_part_sums(anomaly))
+
+    return start_log(stream, path, checkpoint, parts, **trigger)
+
+
+def closed_windows(
     stream: DataFrame, seconds: int = WINDOW_SECONDS, delay: str = "10 minutes",
     anomaly: str | None = None,
 ) -> DataFrame:
-    """Sums per zone, window and meter, updated while readings arrive.
+    """Zone windows of a stream, each given out once, when it is `delay` behind the newest reading.
 
-    State is one small row per meter and open window. The distinct meters of a
-    window are the rows of it, so no state grows with the fleet of a zone.
-    Readings later than `delay` are dropped.
+    For the live board. Readings later than `delay` are dropped; the query's
+    progress counts them. State is a row per meter, and then per zone, of the
+    windows still open.
     """
     check_window(seconds)
-    flagged = F.count_if(F.col(anomaly)) if anomaly else F.lit(0).cast("bigint")
-    windowed = (
+    parts = (
         stream.withColumn("at", as_instant(F.col("reading_ts"))).withWatermark("at", delay)
         .groupBy("zone_id", F.window("at", f"{seconds} seconds").alias("w"), "meter_id")
-        .agg(
-            F.sum(kwh_units(F.col("kwh_delta"))).alias("units"),
-            F.count("*").alias("readings"),
-            F.sum("power_kw").alias("kw_sum"),
-            F.max("power_kw").alias("kw_max"),
-            F.sum("power_factor").alias("pf_sum"),
-            F.sum("voltage").alias("volt_sum"),
-            F.sum("frequency_hz").alias("hz_sum"),
-            F.count_if(F.col("meter_state") == "degraded").alias("degraded"),
-            F.count_if(F.col("meter_state") == "fault").alias("fault"),
-            flagged.alias("anomalies"),
-        )
+        .agg(*_part_sums(anomaly))
     )
-    columns = [f.name for f in T.StructType.fromDDL(PART_SCHEMA).fields]
-    return windowed.withColumn("window_start_ts", as_wall_time(F.col("w.start"))).select(*columns)
+    windows = parts.groupBy("zone_id", "w").agg(*_measures(anomaly is not None))
+    started = windows.withColumn("window_start_ts", as_wall_time(F.col("w.start")))
+    return _ended(started, seconds)
 
 
 def read_windows(
     spark: SparkSession, path: str, seconds: int = WINDOW_SECONDS, expected: Expected = None,
     with_anomalies: bool = False,
 ) -> DataFrame:
-    """Zone windows from the log of window parts, the open last windows included."""
-    parts = read_latest(spark, path, T.StructType.fromDDL(PART_SCHEMA), PART_KEYS)
+    """Zone windows from the log of window parts."""
+    log = spark.read.schema(PART_SCHEMA).parquet(path)
+    meters = log.groupBy(*PART_KEYS).agg(
+        *[F.sum(c).alias(c) for c in SUMS], F.max("kw_max").alias("kw_max"))
+    windows = meters.groupBy("zone_id", "window_start_ts").agg(*_measures(with_anomalies))
+    ended = _ended(windows, seconds)
+    return ended if expected is None else in_window_order(with_silent(ended, expected))
+
+
+def read_window_deltas(
+    spark: SparkSession, path: str, seconds: int = WINDOW_SECONDS, expected: Expected = None,
+    with_anomalies: bool = False,
+) -> DataFrame:
+    """As `read_windows`, with the change to the window before."""
+    return with_demand_delta(read_windows(spark, path, seconds, expected, with_anomalies))
+
+
+def _part_sums(anomaly: str | None) -> list[Column]:
+    flagged = F.count_if(F.col(anomaly)) if anomaly else F.sum(F.lit(0))
+    return [
+        F.sum(kwh_units(F.col("kwh_delta"))).alias("units"),
+        F.count("*").alias("readings"),
+        F.sum("power_kw").alias("kw_sum"),
+        F.max("power_kw").alias("kw_max"),
+        F.sum("power_factor").alias("pf_sum"),
+        F.sum("voltage").alias("volt_sum"),
+        F.sum("frequency_hz").alias("hz_sum"),
+        F.count_if(F.col("meter_state") == "degraded").alias("degraded"),
+        F.count_if(F.col("meter_state") == "fault").alias("fault"),
+        flagged.alias("anomalies"),
+    ]
+
+
+def _measures(with_anomalies: bool) -> list[Column]:
     n = F.nullif(F.sum("readings"), F.lit(0))
     counted = [F.sum("anomalies").alias("anomaly_count")] if with_anomalies else []
-    windows = parts.groupBy("zone_id", "window_start_ts").agg(
+    return [
         (F.sum("units") / 10000.0).alias("total_kwh"),
         round_half_up(F.sum("kw_sum") / n, 3).alias("avg_power_kw"),
         F.greatest(F.lit(0.0), F.max("kw_max")).alias("peak_power_kw"),
@@ -69,12 +117,9 @@ def read_windows(
         F.sum("degraded").alias("degraded_count"),
         F.sum("fault").alias("fault_count"),
         *counted,
-    )
-    ended = windows.withColumn(
-        "window_end_ts", F.col("window_start_ts") + seconds_interval(seconds))
-    return in_window_order(ended if expected is None else with_silent(ended, expected))
+    ]
 
 
-def read_window_deltas(spark: SparkSession, path: str, seconds: int = WINDOW_SECONDS) -> DataFrame:
-    """Zone windows with the change to the window before, from the log of parts."""
-    return with_demand_delta(read_windows(spark, path, seconds))
+def _ended(windows: DataFrame, seconds: int) -> DataFrame:
+    end = F.col("window_start_ts") + seconds_interval(seconds)
+    return in_window_order(windows.withColumn("window_end_ts", end))
