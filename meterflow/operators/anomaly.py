@@ -3,11 +3,9 @@
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from meterflow.functions.numbers import kwh_units
 from meterflow.functions.times import floor_window, hour_start
@@ -20,15 +18,30 @@ CHUNK = [*KEY, "ema_chunk"]
 CHUNK_ROWS = 1_000_000
 
 
-def ema_step(
-    baseline: float | None, x: float, alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD,
-) -> tuple[float, bool]:
-    """One reading: (new baseline, flagged?). A flagged reading leaves the baseline alone."""
-    if baseline is None:
-        return x, False
-    if 0 < baseline * threshold < x:
-        return baseline, True
-    return alpha * x + (1 - alpha) * baseline, False
+def ema_run(
+    values: Sequence[float], baseline: float | None = None,
+    alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD,
+) -> tuple[list[bool], list[float | None]]:
+    """Readings of one key in order: (flagged?, baseline after it) of each.
+
+    The first reading sets the baseline. A flagged reading leaves it alone, and
+    so does a missing one.
+    """
+    flags, after = [], []
+    keep = 1 - alpha
+    for x in values:
+        flagged = False
+        if x != x:
+            pass
+        elif baseline is None:
+            baseline = x
+        elif 0 < baseline * threshold < x:
+            flagged = True
+        else:
+            baseline = alpha * x + keep * baseline
+        flags.append(flagged)
+        after.append(baseline)
+    return flags, after
 
 
 def ema_anomaly(
@@ -39,33 +52,34 @@ def ema_anomaly(
     """Add `is_anomaly_ema` and `ema_baseline` (the baseline after the reading).
 
     A baseline is kept per meter and hour of day. Rows reach their task sorted
-    and are run through in Arrow batches, so no key is ever held in memory.
+    and are run through in batches, so no key is ever held in Python.
     A key of more than `chunk_rows` rows is cut into chunks that run side by
     side, see `_chunk_starts`. `carry_in` (meter_id, ema_hour, ema_baseline)
     continues an earlier run.
     """
     keyed = df.withColumn("ema_hour", F.hour("reading_ts"))
-    starts = _carry_rows(carry_in) if carry_in is not None else None
+    starts = None
+    if carry_in is not None:
+        starts = carry_in.select(*KEY, F.col("ema_baseline").alias("start"))
     large = keyed.groupBy(*KEY).count().filter(F.col("count") > chunk_rows).select(*KEY)
     if large.isEmpty():
-        chunked = keyed.withColumn("ema_chunk", F.lit(0).cast("bigint"))
-    else:
-        chunks = _chunk_table(keyed, large, chunk_rows)
-        minute = floor_window(F.col("reading_ts"), 60)
-        chunked = (
-            keyed.withColumn("_minute", minute)
-            .join(chunks, [*KEY, "_minute"], "left")
-            .withColumn("ema_chunk", F.coalesce("ema_chunk", F.lit(0).cast("bigint")))
-            .drop("_minute")
-        )
-        hot = chunked.join(large, KEY, "left_semi").select(*CHUNK, *order, "kwh_delta")
-        found = _chunk_starts(materialise(hot, "ema-hot"), starts, order, alpha, threshold)
-        if starts is None:
-            starts = found
-        else:
-            starts = starts.join(large, KEY, "left_anti").unionByName(found)
-    flagged = _fold(chunked, starts, order, alpha, threshold, last_only=False)
-    return flagged.drop("ema_hour", "ema_chunk")
+        return _fold(keyed, KEY, starts, order, alpha, threshold).drop("ema_hour")
+
+    first = F.lit(0).cast("bigint").alias("ema_chunk")
+    chunks = _chunk_table(keyed, large, chunk_rows)
+    chunked = (
+        keyed.withColumn("_minute", floor_window(F.col("reading_ts"), 60))
+        .join(chunks, [*KEY, "_minute"], "left")
+        .withColumn("ema_chunk", F.coalesce("ema_chunk", first))
+        .drop("_minute")
+    )
+    if starts is not None:
+        starts = starts.select(*KEY, first, "start")
+    hot = chunked.join(large, KEY, "left_semi").select(*CHUNK, *order, "kwh_delta")
+    found = _chunk_starts(materialise(hot, "ema-hot"), starts, order, alpha, threshold)
+    if starts is not None:
+        found = found.unionByName(starts.join(large, KEY, "left_anti"))
+    return _fold(chunked, CHUNK, found, order, alpha, threshold).drop("ema_hour", "ema_chunk")
 
 
 def ema_baselines(flagged: DataFrame, order: Sequence[str] = ("reading_ts", "event_id")) -> DataFrame:
@@ -104,12 +118,6 @@ def rolling_anomaly(
     )
 
 
-def _carry_rows(carry_in: DataFrame) -> DataFrame:
-    """Start rows of the first chunk of each key."""
-    return carry_in.select(
-        *KEY, F.lit(0).cast("bigint").alias("ema_chunk"), F.col("ema_baseline").alias("start"))
-
-
 def _chunk_table(keyed: DataFrame, large: DataFrame, chunk_rows: int) -> DataFrame:
     """The chunk of every minute of the large keys, each chunk about `chunk_rows` rows."""
     minutes = (
@@ -144,8 +152,8 @@ def _chunk_starts(
     while True:
         dirty = known.filter("dirty")
         ends = _fold(
-            hot.join(dirty.select(*CHUNK), CHUNK, "left_semi"), dirty.select(*CHUNK, "start"),
-            order, alpha, threshold, last_only=True,
+            hot.join(dirty.select(*CHUNK), CHUNK, "left_semi"), CHUNK,
+            dirty.select(*CHUNK, "start"), order, alpha, threshold, last_only=True,
         ).withColumnRenamed("ema_baseline", "new_end")
         settled = known.join(ends, CHUNK, "left").withColumn("end", F.coalesce("new_end", "end"))
         is_first = F.row_number().over(in_key) == 1
@@ -161,80 +169,53 @@ def _chunk_starts(
 
 
 def _fold(
-    rows: DataFrame, starts: DataFrame | None, order: Sequence[str], alpha: float,
-    threshold: float, last_only: bool,
+    rows: DataFrame, keys: Sequence[str], starts: DataFrame | None, order: Sequence[str],
+    alpha: float, threshold: float, last_only: bool = False,
 ) -> DataFrame:
-    """Run the average over every chunk, from its row in `starts` if it has one.
+    """Run the average over every key, from its row in `starts` if it has one.
 
-    A start travels as an extra row sorted to the head of its chunk.
+    A start travels as an extra row sorted to the head of its key. Gives the
+    rows with flag and baseline, or `last_only` the last baseline per key.
     """
     fed = rows.withColumn("_start", F.lit(None).cast("double"))
     if starts is not None:
-        blank = [
-            F.lit(None).cast(f.dataType).alias(f.name)
-            for f in rows.schema.fields if f.name not in CHUNK
-        ]
+        blank = [F.lit(None).cast(f.dataType).alias(f.name)
+                 for f in rows.schema.fields if f.name not in keys]
         heads = starts.filter(F.col("start").isNotNull())
-        fed = fed.unionByName(heads.select(*CHUNK, *blank, F.col("start").alias("_start")))
-    spread = fed.repartition(*CHUNK).sortWithinPartitions(
-        *CHUNK, F.col("_start").isNull(), *order)
-    kept = rows.columns
+        fed = fed.unionByName(heads.select(*keys, *blank, F.col("start").alias("_start")))
+    # the window sorts the rows of each key together, which is the order the average runs in
+    in_key = Window.partitionBy(*keys).orderBy(F.col("_start").isNull(), *order)
+    value = F.coalesce("_start", "kwh_delta")
+    marked = fed.withColumn("_fresh", F.row_number().over(in_key) == 1)
     if last_only:
-        columns = [rows.schema[c] for c in CHUNK]
-        columns.append(T.StructField("ema_baseline", T.DoubleType()))
-    else:
-        columns = [
-            *rows.schema.fields,
-            T.StructField("is_anomaly_ema", T.BooleanType()),
-            T.StructField("ema_baseline", T.DoubleType()),
-        ]
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, baseline = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.select(CHUNK)
-            fresh = _key_changes(keys, last_key)
-            heads = batch["_start"].to_numpy(zero_copy_only=False)
-            is_head = ~np.isnan(heads)
-            values = np.where(is_head, heads, batch["kwh_delta"].to_numpy(zero_copy_only=False))
-            flags, after, before = [], [], baseline
-            for x, new in zip(values.tolist(), fresh.tolist()):
-                flagged = False
-                if new:
+        marked = marked.withColumn("_last", F.lead(F.lit(1)).over(in_key).isNull())
+    ran = marked.withColumn("_ema", _running_average(alpha, threshold)(value, F.col("_fresh")))
+    if last_only:
+        return ran.filter("_last").select(*keys, F.col("_ema.baseline").alias("ema_baseline"))
+    return ran.filter(F.col("_start").isNull()).select(
+        *rows.columns, F.col("_ema.flag").alias("is_anomaly_ema"),
+        F.col("_ema.baseline").alias("ema_baseline"))
+
+
+def _running_average(alpha: float, threshold: float):
+    """The average over sorted rows; only the value and the start-of-key mark go to Python.
+
+    It carries the baseline from batch to batch, so it is marked as not
+    deterministic: no filter may be moved below it.
+    """
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        baseline = None
+        for values, fresh in batches:
+            values, firsts = values.tolist(), np.flatnonzero(fresh.to_numpy()).tolist()
+            cuts = sorted({0, *firsts, len(values)})
+            flags, after = [], []
+            for begin, end in zip(cuts, cuts[1:]):
+                if firsts and begin >= firsts[0]:
                     baseline = None
-                if x == x:
-                    baseline, flagged = ema_step(baseline, x, alpha, threshold)
-                flags.append(flagged)
-                after.append(baseline)
-            if last_only:
-                if fresh[0] and last_key is not None:
-                    yield with_ends(last_key, [before])
-                ends = np.flatnonzero(fresh[1:])
-                if len(ends):
-                    yield with_ends(keys.take(ends), [after[i] for i in ends])
-            else:
-                added = [pa.array(flags), pa.array(after, pa.float64())]
-                out = pa.RecordBatch.from_arrays(
-                    [*[batch[c] for c in kept], *added],
-                    names=[*kept, "is_anomaly_ema", "ema_baseline"])
-                yield out.filter(pa.array(~is_head)) if is_head.any() else out
-            last_key = keys.slice(batch.num_rows - 1)
-        if last_only and last_key is not None:
-            yield with_ends(last_key, [baseline])
-
-    def with_ends(keys: pa.RecordBatch, ends: list[float | None]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [*keys.columns, pa.array(ends, pa.float64())], names=[*CHUNK, "ema_baseline"])
-
-    return spread.mapInArrow(run, T.StructType(columns))
-
-
-def _key_changes(keys: pa.RecordBatch, last_key: pa.RecordBatch | None) -> np.ndarray:
-    """For each row of a sorted batch, whether its key differs from the row before."""
-    changed = np.zeros(keys.num_rows, dtype=bool)
-    for column in keys.columns:
-        differs = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1))
-        changed[1:] |= differs.fill_null(True).to_numpy(zero_copy_only=False)
-    changed[0] = last_key is None or keys.slice(0, 1).to_pydict() != last_key.to_pydict()
-    return changed
+                some_flags, some_after = ema_run(values[begin:end], baseline, alpha, threshold)
+                flags += some_flags
+                after += some_after
+                baseline = some_after[-1]
+            yield pd.DataFrame({"flag": flags, "baseline": pd.Series(after, dtype=float)})
+
+    return F.pandas_udf(run, "flag boolean, baseline double").asNondeterministic()

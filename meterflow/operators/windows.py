@@ -47,6 +47,17 @@ def zone_window_agg(
     return in_window_order(ended if expected is None else with_silent(ended, expected))
 
 
+def anomaly_counts(flagged: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
+    """Flagged readings per zone and window, for the windows that have any.
+
+    Joining these to the windows keeps the other measures out of the Python
+    pass that finds the flags.
+    """
+    start = floor_window(F.col("reading_ts"), seconds).alias("window_start_ts")
+    return flagged.filter("is_anomaly_ema").groupBy("zone_id", start).agg(
+        F.count("*").alias("anomaly_count"))
+
+
 def in_window_order(windows: DataFrame) -> DataFrame:
     """The window columns that exist, in the order of the window schema."""
     return windows.select(*[c for c in ZONE_AGG_SCHEMA.names if c in windows.columns])

@@ -46,17 +46,19 @@ def _windows(spark: SparkSession, sf: str, seconds: int = 300) -> DataFrame:
     return windows.zone_window_agg(r, seconds, windows.expected_meters(r))
 
 
-def _flagged(spark: SparkSession, sf: str) -> DataFrame:
-    cols = ["event_id", "arrival_seq", "meter_id", "zone_id", "reading_ts", "kwh_delta", "voltage",
-            "power_kw", "power_factor", "frequency_hz", "meter_state"]
+def _flagged(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """Flagged readings with only the columns a query needs: all of them pass through Python."""
+    cols = ["arrival_seq", "meter_id", "reading_ts", "kwh_delta", *more]
     return anomaly.ema_anomaly(readings(spark, sf).select(*cols), order=ORDER)
 
 
 def _full(spark: SparkSession, sf: str) -> DataFrame:
-    expected = windows.expected_meters(readings(spark, sf))
-    agg = windows.zone_window_agg(
-        _flagged(spark, sf), expected=expected, anomaly="is_anomaly_ema")
-    return windows.with_demand_delta(agg)
+    r = readings(spark, sf)
+    agg = windows.zone_window_agg(r, expected=windows.expected_meters(r))
+    counts = windows.anomaly_counts(_flagged(spark, sf, "zone_id"))
+    joined = agg.join(counts, ["zone_id", "window_start_ts"], "left")
+    counted = joined.withColumn("anomaly_count", F.coalesce("anomaly_count", F.lit(0)))
+    return windows.in_window_order(windows.with_demand_delta(counted))
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -293,7 +295,8 @@ def expected_meters(spark, sf):
 
 @query
 def ema_anomaly(spark, sf):
-    return _flagged(spark, sf).select("event_id", "meter_id", "reading_ts", "is_anomaly_ema")
+    return _flagged(spark, sf, "event_id").select(
+        "event_id", "meter_id", "reading_ts", "is_anomaly_ema")
 
 
 @query

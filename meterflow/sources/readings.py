@@ -27,10 +27,10 @@ def from_events(events: DataFrame) -> DataFrame:
     user, k = F.col("user_id"), F.col("k")
     type_slot = (user * 7) % 50
     base = events.select(
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        _props_k().alias("k"),
         F.col("event_id").alias("arrival_seq"),
         F.col("event_id").cast("string").alias("event_id"),
-        F.format_string("MTR-%04d", user).alias("meter_id"),
+        F.concat(F.lit("MTR-"), _four_digits(user)).alias("meter_id"),
         by_value(user % 5, dict(enumerate(ZONES))).alias("zone_id"),
         F.when(type_slot < 35, "residential").when(type_slot < 47, "commercial")
         .otherwise("industrial").alias("customer_type"),
@@ -48,8 +48,8 @@ def from_events(events: DataFrame) -> DataFrame:
     typed = base.select(
         "k", "arrival_seq", "event_id", "meter_id", "zone_id", "customer_type", "reading_ts",
         (F.col("units") / 10000.0).alias("kwh_delta"),
-        F.round(nominal * (1 + (k % 41 - 20) / 100.0), 2).alias("voltage"),
-        F.round(0.80 + (k % 20) / 100.0, 2).alias("power_factor"),
+        (nominal * (80 + k % 41) / 100.0).alias("voltage"),
+        ((80 + k % 20) / 100.0).alias("power_factor"),
         (F.floor((micro_kw + 500) / 1000) / 1000.0).alias("power_kw"),
         (60 + (k % 13 - 6) / 10.0).cast("double").alias("frequency_hz"),
         "meter_state",
@@ -63,6 +63,20 @@ def from_events(events: DataFrame) -> DataFrame:
     return typed.withColumn("current_amps", F.round(amps + 1e-9, 3))
 
 
+def _props_k() -> Column:
+    """`k` of the JSON in `props`; `{"k": 1}` is read directly, any other shape is parsed."""
+    props = F.col("props")
+    inner = F.substring(props, 7, F.length(props) - 7).try_cast("int")
+    direct = F.when(props.startswith('{"k": ') & props.endswith("}"), inner)
+    return F.coalesce(direct, F.get_json_object(props, "$.k").cast("int"))
+
+
+def _four_digits(number: Column) -> Column:
+    """Zero-padded to four digits; longer numbers stay whole."""
+    text = number.cast("string")
+    return F.when(number < 10000, F.lpad(text, 4, "0")).otherwise(text)
+
+
 def with_odometer(df: DataFrame) -> DataFrame:
     """Add the cumulative meter value `kwh_reading`, starting at 1000."""
     units = running_by_slot(

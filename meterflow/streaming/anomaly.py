@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from meterflow.operators.anomaly import ema_step
+from meterflow.operators.anomaly import ema_run
 from meterflow.schema import EMA_ALPHA, EMA_THRESHOLD
 
 READING = (
@@ -31,13 +31,13 @@ def stream_ema_anomaly(
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames)).sort_values(["reading_ts", "seq"])
         baselines = list(state.get[0]) if state.exists else [None] * 24
-        flags, after = [], []
-        for hour, x in zip(rows["ema_hour"].tolist(), rows["kwh_delta"].tolist()):
-            baselines[hour], flagged = ema_step(baselines[hour], x, alpha, threshold)
-            flags.append(flagged)
-            after.append(baselines[hour])
+        flagged = []
+        for hour, part in rows.groupby("ema_hour", sort=False):
+            flags, after = ema_run(part["kwh_delta"].tolist(), baselines[hour], alpha, threshold)
+            baselines[hour] = after[-1]
+            flagged.append(part[COLUMNS].assign(is_anomaly_ema=flags, ema_baseline=after))
         state.update((baselines,))
-        yield rows[COLUMNS].assign(is_anomaly_ema=flags, ema_baseline=after)
+        yield pd.concat(flagged)
 
     fed = stream.select(
         *COLUMNS, F.col(seq).alias("seq"), F.hour("reading_ts").alias("ema_hour"))
