@@ -142,20 +142,20 @@ def stg_readings(spark, sf):
 
 @query
 def dq_bad_json(spark, sf):
-    _, bad = raw.split_bad(src.bad_json(src.with_odometer(readings(spark, sf))))
+    _, bad = raw.split_bad(src.bad_json(readings(spark, sf)))
     return bad.select("arrival_seq", "value")
 
 
 @query
 def dq_missing_keys(spark, sf):
-    checked = raw.missing_keys(src.bad_json(src.with_odometer(readings(spark, sf))))
+    checked = raw.missing_keys(src.bad_json(readings(spark, sf)))
     return checked.filter(F.size("missing") > 0).select(
         "arrival_seq", F.concat_ws(",", "missing").alias("missing"))
 
 
 @query
 def quarantine(spark, sf):
-    bad = src.bad_json(src.with_odometer(readings(spark, sf)))
+    bad = src.bad_json(readings(spark, sf))
     return raw.quarantine(bad).select("arrival_seq", "reason")
 
 

@@ -23,8 +23,12 @@ def with_load_ts(df: DataFrame, ts: Column | None = None) -> DataFrame:
 
 
 def with_src(df: DataFrame) -> DataFrame:
-    """Parse `value` into the variant `src`, NULL where it is not JSON."""
-    return df.withColumn("src", F.try_parse_json("value"))
+    """Parse `value` into the variant `src`, NULL where it is not JSON.
+
+    As the output of a generator it is parsed once; a filter on a plain column
+    would be moved below it with a copy of the parser for each use.
+    """
+    return df.select("*", F.explode(F.array(F.try_parse_json("value"))).alias("src"))
 
 
 def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -107,14 +107,20 @@ def json_struct(**replace: Column | None) -> Column:
 
 
 def bad_json(df: DataFrame) -> DataFrame:
-    """Readings as JSON with broken rows: k = 0 cut text, 1 no power, 2 null energy, 3 bad time."""
-    whole = F.to_json(json_struct())
-    null_energy = json_struct(kwh_delta=F.lit(None).cast("double"))
+    """Readings as JSON with broken rows: k = 0 cut text, 1 no power, 2 null energy, 3 bad time.
+
+    The texts go without the odometer, which no check asks for.
+    """
+    def event(**replace):
+        return json_struct(kwh_reading=None, **replace)
+
+    whole = F.to_json(event())
+    null_energy = event(kwh_delta=F.lit(None).cast("double"))
     value = (
         F.when(F.col("k") == 0, F.left(whole, F.lit(20)))
-        .when(F.col("k") == 1, F.to_json(json_struct(power_kw=None)))
+        .when(F.col("k") == 1, F.to_json(event(power_kw=None)))
         .when(F.col("k") == 2, F.to_json(null_energy, {"ignoreNullFields": "false"}))
-        .when(F.col("k") == 3, F.to_json(json_struct(timestamp=F.lit("not-a-time"))))
+        .when(F.col("k") == 3, F.to_json(event(timestamp=F.lit("not-a-time"))))
         .otherwise(whole)
     )
     return df.select("arrival_seq", "k", "load_ts", value.alias("value"))
