@@ -2,6 +2,7 @@
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,15 +30,20 @@ def stream_ema_anomaly(
     limits of the source keep small. Its state is a baseline per hour of day.
     """
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(["reading_ts", "seq"])
+        rows = pd.concat(list(frames)).sort_values(["ema_hour", "reading_ts", "seq"])
         baselines = list(state.get[0]) if state.exists else [None] * 24
-        flagged = []
-        for hour, part in rows.groupby("ema_hour", sort=False):
-            flags, after = ema_run(part["kwh_delta"].tolist(), baselines[hour], alpha, threshold)
-            baselines[hour] = after[-1]
-            flagged.append(part[COLUMNS].assign(is_anomaly_ema=flags, ema_baseline=after))
+        hours, values = rows["ema_hour"].to_numpy(), rows["kwh_delta"].tolist()
+        cuts = [0, *(np.flatnonzero(np.diff(hours)) + 1).tolist(), len(values)]
+        flags, after = [], []
+        for begin, end in zip(cuts, cuts[1:]):
+            hour = int(hours[begin])
+            some_flags, some_after = ema_run(
+                values[begin:end], baselines[hour], alpha, threshold)
+            baselines[hour] = some_after[-1]
+            flags += some_flags
+            after += some_after
         state.update((baselines,))
-        yield pd.concat(flagged)
+        yield rows[COLUMNS].assign(is_anomaly_ema=flags, ema_baseline=after)
 
     fed = stream.select(
         *COLUMNS, F.col(seq).alias("seq"), F.hour("reading_ts").alias("ema_hour"))
