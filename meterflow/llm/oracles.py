@@ -2,6 +2,7 @@
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+'"
+_SPACED = r"'[^\x{20}\x{09}-\x{0D}]+'"
 
 
 def _words(pattern: str) -> str:
@@ -30,6 +31,23 @@ ORACLES = {
                sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_ngram_jaccard": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, coalesce({_words(_SPACED)}, []) AS w FROM documents),
+        s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, g FROM (
+                SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+                UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 2)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same
+                              FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+            JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+            WHERE 100 * same >= 90 * (p.n + q.n - same)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM d
+                  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(b) AS component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY 1, 2""",
     "op8_line_dedup": f"""
         WITH l AS (
             SELECT doc_id, generate_subscripts(s, 1) AS i, unnest(s) AS line
