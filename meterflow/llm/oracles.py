@@ -1,5 +1,7 @@
 """SQL for DuckDB that gives the rows of the queries SQL can express."""
 
+from meterflow.llm import mixing
+
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+'"
 _SPACED = r"'[^\x{20}\x{09}-\x{0D}]+'"
@@ -9,6 +11,58 @@ def _words(pattern: str) -> str:
     return f"regexp_extract_all({_LOWER.format(chr(34) + 'text' + chr(34))}, {pattern})"
 
 
+def _divided(name: str, parent: str, nodes: str) -> str:
+    """CTEs that divide the budget `given` of each parent among its children (cap, weight)."""
+    keys = parent.replace("1", "one")
+    return f"""
+        {name}_a AS (
+            SELECT *, given - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_,
+                   sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+            FROM ({nodes}) WINDOW o AS (PARTITION BY {keys} ORDER BY cap / weight, {name})),
+        {name}_b AS (SELECT *, left_ * weight >= cap * weights AS full_ FROM {name}_a),
+        {name}_c AS (
+            SELECT *, max(CASE WHEN NOT full_ THEN left_ END) OVER (PARTITION BY {keys}) AS of_,
+                   max(CASE WHEN NOT full_ THEN weights END) OVER (PARTITION BY {keys}) AS by_ FROM {name}_b),
+        {name}_d AS (SELECT * EXCLUDE (given), CASE WHEN full_ THEN cap ELSE of_ * weight // by_ END AS given
+                     FROM {name}_c)"""
+
+
+def _mixing() -> str:
+    domain = "CASE " + " ".join(
+        f"WHEN source IN ({', '.join(repr(f'src{i}') for i in numbers)}) THEN '{name}'"
+        for name, numbers in mixing.DOMAINS.items()) + " ELSE 'other' END"
+    weights = ", ".join(f"('{k}', {v})" for k, v in mixing.WEIGHTS.items())
+    epochs = mixing.MAX_EPOCHS
+    return f"""
+        WITH w(path, weight) AS (VALUES {weights}),
+        d AS (SELECT doc_id, "text", lang AS lang0, source AS source0, {domain} AS domain,
+                     coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     len(coalesce(regexp_extract_all("text", {_SPACED}), [])) AS n_tokens FROM documents),
+        leaves AS (SELECT domain, lang, source, sum(n_tokens)::bigint AS supply, 1 AS one FROM d GROUP BY ALL),
+        {_divided("domain", "1", f"""
+            SELECT *, coalesce((SELECT weight FROM w WHERE path = domain), 1) AS weight,
+                   (SELECT sum(supply)::bigint * {mixing.PERCENT} // 100 FROM leaves) AS given
+            FROM (SELECT one, domain, sum(supply)::bigint * {epochs} AS cap FROM leaves GROUP BY ALL)""")},
+        {_divided("lang", "domain", f"""
+            SELECT x.*, coalesce((SELECT weight FROM w WHERE path = x.domain || '/' || x.lang), 1) AS weight, given
+            FROM (SELECT domain, lang, sum(supply)::bigint * {epochs} AS cap FROM leaves GROUP BY ALL) x
+            JOIN domain_d USING (domain)""")},
+        {_divided("source", "domain, lang", f"""
+            SELECT x.*, 1 AS weight, given
+            FROM (SELECT domain, lang, source, supply, supply * {epochs} AS cap FROM leaves) x
+            JOIN lang_d USING (domain, lang)""")},
+        plan AS (SELECT domain, lang, source, given // supply AS epochs, given % supply AS rest
+                 FROM source_d WHERE supply > 0),
+        o AS (SELECT *, md5('{mixing.SEED}:' || cast(epochs::int AS varchar) || ':' || coalesce(cast(doc_id AS varchar), '')) AS k
+              FROM d JOIN plan USING (domain, lang, source)),
+        p AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k, n_tokens, "text"
+                                            ROWS UNBOUNDED PRECEDING) AS upto FROM o)
+        SELECT * FROM (
+            SELECT doc_id, domain, lang0 AS lang, source0 AS source, n_tokens,
+                   (epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)::int AS copies FROM p)
+        WHERE copies > 0"""
+
+
 ORACLES = {
     "op1_decontaminate": f"""
         WITH d AS (SELECT doc_id, coalesce({_words(_ALNUM)}, []) AS w FROM documents),
@@ -31,6 +85,7 @@ ORACLES = {
                sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op3_mixing": _mixing(),
     "op7_ngram_jaccard": f"""
         WITH RECURSIVE d AS (SELECT doc_id, coalesce({_words(_SPACED)}, []) AS w FROM documents),
         s AS MATERIALIZED (

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, jaccard, line_dedup, toxicity
+from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, toxicity
 from meterflow.llm.labelled import fold
 
 QUERIES = {}
@@ -29,6 +29,12 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         decontaminate.is_contaminated().alias("contaminated"))
 
 
+@query
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf, "documents")).select(
+        "doc_id", mixing.domain(F.col("source")).alias("domain"), "lang", "source", "n_tokens", "copies")
+
+
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf, "documents").select("doc_id", "text"))
