@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import decontaminate, line_dedup, toxicity
+from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, toxicity
 from meterflow.storage import materialise
 
 
@@ -17,15 +17,30 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(docs)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group that the n-gram Jaccard join connects.
+
+    Near-duplicate rule of the pipeline: shingles of five words, a similarity of 0.8 or more.
+    """
+    return jaccard.keep_one(docs, percent=80, size=5)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words is in benchmark windows."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents selected for the target weights, with n_tokens and copies."""
+    return mixing.mix_documents(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", dedup_lines),
+    ("ngram_jaccard", drop_near_duplicates),
     ("decontaminate", drop_contaminated),
+    ("mixing", mix_sources),
 ]
 
 #: The toxicity stage can't be said in SQL; tests hold the pipeline against a brute-force version.
