@@ -84,11 +84,11 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, int], per
     spark: SparkSession = docs.sparkSession
     path = [f"__{n}" for n in levels]
     placed = docs.drop("n_tokens", "copies").withColumn("n_tokens", words() if tokens is None else tokens)
-    placed = placed.withColumns({p: text_of(c) for p, c in zip(path, levels.values())})
+    placed = placed.where("n_tokens > 0").withColumns({p: text_of(c) for p, c in zip(path, levels.values())})
     leaves = materialise(placed.groupBy(*path).agg(F.sum("n_tokens").cast("long").alias("supply")), "leaves")
     rows, supply = leaves.agg(F.count("*"), F.sum("supply")).first()
     given = spark.createDataFrame(list(weights.items()) or [("", 1)], "path string, weight long")
-    plan = budgets(leaves, path, given, (supply or 0) * percent // 100, max_epochs).where("supply > 0")
+    plan = budgets(leaves, path, given, (supply or 0) * percent // 100, max_epochs)
     plan = materialise(plan.select(*path, F.expr("budget div supply").cast("int").alias("__epochs"),
                                    F.expr("budget % supply").alias("__rest")), "leaf-plan")
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__epochs").cast("string"), text_of(F.col("doc_id"))))

@@ -37,7 +37,8 @@ def _mixing() -> str:
         WITH w(path, weight) AS (VALUES {weights}),
         d AS (SELECT doc_id, "text", lang AS lang0, source AS source0, {domain} AS domain,
                      coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-                     len(coalesce(regexp_extract_all("text", {_SPACED}), [])) AS n_tokens FROM documents),
+                     len(coalesce(regexp_extract_all("text", {_SPACED}), [])) AS n_tokens FROM documents
+              WHERE n_tokens > 0),
         leaves AS (SELECT domain, lang, source, sum(n_tokens)::bigint AS supply, 1 AS one FROM d GROUP BY ALL),
         {_divided("domain", "1", f"""
             SELECT *, coalesce((SELECT weight FROM w WHERE path = domain), 1) AS weight,
@@ -52,7 +53,7 @@ def _mixing() -> str:
             FROM (SELECT domain, lang, source, supply, supply * {epochs} AS cap FROM leaves) x
             JOIN lang_d USING (domain, lang)""")},
         plan AS (SELECT domain, lang, source, given // supply AS epochs, given % supply AS rest
-                 FROM source_d WHERE supply > 0),
+                 FROM source_d),
         o AS (SELECT *, md5('{mixing.SEED}:' || cast(epochs::int AS varchar) || ':' || coalesce(cast(doc_id AS varchar), '')) AS k
               FROM d JOIN plan USING (domain, lang, source)),
         p AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k, n_tokens, "text"
