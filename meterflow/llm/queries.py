@@ -1,9 +1,10 @@
 """Each operator over the whole of its table, with the settings meant for production."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, toxicity
+from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, token_counts, toxicity
 from meterflow.llm.labelled import fold
 
 QUERIES = {}
@@ -29,6 +30,18 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         decontaminate.is_contaminated().alias("contaminated"))
 
 
+#: Tokens beyond which a text is over the limit.
+TOKEN_LIMIT = 512
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+                          "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 @query
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf, "documents")).select(
