@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, token_counts, toxicity
+from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, neighbours, token_counts, toxicity
 from meterflow.llm.labelled import fold
 
 QUERIES = {}
@@ -67,3 +67,9 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
