@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, neighbours, token_counts, toxicity
+from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, neighbours, quality, token_counts, toxicity
 from meterflow.llm.labelled import fold
 
 QUERIES = {}
@@ -48,6 +48,15 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", mixing.domain(F.col("source")).alias("domain"), "lang", "source", "n_tokens", "copies")
 
 
+@query
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf, "documents").select("doc_id", "text"))
