@@ -37,7 +37,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
 
 
 class Logistic:
-    """Logistic regression of a few features, fitted by Newton steps with an L2 penalty."""
+    """Logistic regression of a few features, fitted by Newton steps with an L2 penalty.
+
+    Both classes weigh the same together, however many rows either has.
+    """
 
     def __init__(self, weights: np.ndarray, centre: np.ndarray, scale: np.ndarray):
         self.weights, self.centre, self.scale = weights, centre, scale
@@ -55,12 +58,13 @@ class Logistic:
         if len(np.unique(y)) < 2:
             return model
         z = np.column_stack([np.ones(len(x)), (x - centre) / scale])
+        weight = np.where(y > 0, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
         ridge = np.full(len(w), penalty)
         ridge[0] = 1e-9
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            pull = z.T @ (p - y) + ridge * w
-            bend = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(ridge)
+            pull = z.T @ (weight * (p - y)) + ridge * w
+            bend = (z * (weight * p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(ridge)
             w = w - np.linalg.solve(bend, pull)
         model.weights = w
         return model

@@ -1,7 +1,8 @@
 """Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text.
 
 Text is compressed as the 64-bit codes of its words, so that a match is a whole
-word and shared syllables save nothing. Each dictionary holds the words that are
+word and shared syllables save nothing; the code of a long word is followed by that
+of its beginning, since words of one stem have many endings. Each dictionary holds the words that are
 typical of its class. A window of words that gets shorter with the toxic
 dictionary than with the ordinary one speaks for toxicity; a logistic curve,
 fitted on labelled texts that the dictionaries haven't seen, turns the windows'
@@ -19,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.labelled import Logistic, fold, labelled_sample
-from meterflow.llm.words import NOT_ALNUM, by_batch, codes_of, schema_with, with_columns
+from meterflow.llm.words import NOT_ALNUM, by_batch, schema_with, text_bytes, with_columns, word_codes, word_spans
 
 #: Training documents of each class at most.
 SAMPLE = 10_000
-#: Words in a window, and in a dictionary at most.
-WINDOW, DICTIONARY = 64, 4096
-#: A word enters a dictionary if this share of the class's documents has it (and
+#: Codes in a window, and in a dictionary at most; bytes of a word's beginning.
+WINDOW, DICTIONARY, STEM = 64, 4096, 5
+#: A code enters a dictionary if this share of the class's documents has it (and
 #: three at least), and it is so many times as frequent there as in the other.
 SHARE, RATIO = 0.01, 30.0
 THRESHOLD = 0.7
@@ -34,6 +35,20 @@ THRESHOLD = 0.7
 _EASY = bytes(96)
 
 
+def stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all texts, and the number of codes of each."""
+    data, offsets = text_bytes(texts)
+    starts, ends, counts = word_spans(data, offsets, NOT_ALNUM)
+    long = ends - starts > STEM
+    place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(long)[:-1]]) if len(starts) else starts
+    out = np.empty(len(starts) + long.sum(), np.uint64)
+    out[place] = word_codes(data, starts, ends)
+    out[place[long] + 1] = word_codes(data, starts[long], starts[long] + STEM)
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    stems = np.concatenate([[0], np.cumsum(long)])
+    return out, counts + stems[bounds[1:]] - stems[bounds[:-1]]
+
+
 class Compressors:
     """One compressor for each dictionary, made where it is used."""
 
@@ -61,7 +76,7 @@ class Compressors:
 
 def features(texts: pa.Array, compressors: Compressors) -> np.ndarray:
     """For each text: the largest saving, the log of their sum, and the saving for each word."""
-    codes, counts = codes_of(texts, NOT_ALNUM)
+    codes, counts = stream(texts)
     out = np.zeros((len(counts), 3))
     for i, own in enumerate(np.split(codes, np.cumsum(counts)[:-1]) if len(counts) else []):
         if len(own):
@@ -85,7 +100,7 @@ def _class_counts(rows: DataFrame) -> DataFrame:
     """(code, toxic, ordinary): in how many documents of each class each word is."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codes, counts = codes_of(batch.column("text"), NOT_ALNUM)
+        codes, counts = stream(batch.column("text"))
         label = np.repeat(batch.column("label").to_numpy(zero_copy_only=False), counts)
         doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
         order = np.lexsort((doc, codes))
