@@ -4,11 +4,11 @@
    with equal sets form a class, known by a 128-bit digest; one member stands for
    all, so copies are never expanded into pairs.
 2. Signatures split the classes into groups with no link between them. Sets that
-   link differ in H shingles at most, so if the code range is cut into H + 1
-   equal parts, the sets agree in one part at least. H follows from a band of
-   set sizes; linked sets lie in one band or in neighbouring ones, and a set
-   gives the signatures of its own band and of the band below. Sets that share
-   a signature go to one group, however they are connected.
+   link differ in H shingles at most, so if the code range is cut into more than
+   H equal parts, the sets agree in some. H follows from a band of set sizes;
+   linked sets lie in one band or in neighbouring ones, and a set gives the
+   signatures of its own band and of the band below. Sets that share a signature
+   go to one group, however they are connected.
 3. In a group, T-occurrence search finds the links: a set's short inverted lists
    are merged and counted, its long ones are only probed by binary search for
    what can still reach the overlap (DivideSkip). Only what connects documents
@@ -25,6 +25,7 @@ component of null ids only has a null component_id.
 """
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,26 +80,34 @@ class Bands:
     def of(self, n: int) -> int:
         while self.first[-1] <= n:
             self.first.append(100 * self.first[-1] // self.percent + 1)
-        return int(np.searchsorted(self.first, n, "right")) - 1
+        return bisect_right(self.first, n) - 1
 
-    def parts(self, band: int) -> int:
-        """One more than linked sets of this band and the next can differ in."""
-        self.of(self.first[-1])
+    def parts(self, band: int) -> tuple[int, int]:
+        """How many parts sets of this band and the next are cut into, and how many agree beyond the first."""
         while len(self.first) < band + 3:
-            self.of(self.first[-1])
+            self.first.append(100 * self.first[-1] // self.percent + 1)
         most = self.first[band + 1] + self.first[band + 2] - 2
-        return (100 - self.percent) * most // (100 + self.percent) + 1
+        differ = (100 - self.percent) * most // (100 + self.percent)
+        spare = (differ + 1) // 8
+        return differ + 1 + spare, spare
 
     def signatures(self, codes: np.ndarray) -> np.ndarray:
+        """Codes of the parts, for the set's own band and the one below.
+
+        Linked sets agree in more than `spare` parts. So a set with no more than that
+        many parts of one shingle or none, which agree by chance, needs no signature of them.
+        """
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(codes))])
         out = []
         own = self.of(len(codes))
         for band in (own, own - 1) if own else (own,):
-            k = self.parts(band)
+            k, spare = self.parts(band)
             edges = np.arange(1, k, dtype=np.uint64) * np.uint64((1 << 64) // k - (k == 1))
             cuts = np.concatenate([[0], np.searchsorted(codes, edges), [len(codes)]])
-            part = sums[cuts[1:]] - sums[cuts[:-1]]
-            out.append(mix(part + mix(np.arange(k, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(band + 1))))
+            names = mix(sums[cuts[1:]] - sums[cuts[:-1]]
+                        + mix(np.arange(k, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(band + 1)))
+            strong = np.diff(cuts) > 1
+            out.append(names[strong] if k - strong.sum() <= spare else names)
         return joined(out, np.uint64)
 
 
