@@ -20,9 +20,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group that the n-gram Jaccard join connects.
 
-    Near-duplicate rule of the pipeline: shingles of five words, a similarity of 0.8 or more.
+    Documents link by the join's own rule: shingles of three words, a similarity of 0.9 or more.
     """
-    return jaccard.keep_one(docs, percent=80, size=5)
+    return jaccard.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
