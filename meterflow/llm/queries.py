@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, neighbours, quality, token_counts, toxicity
+from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, neighbours, quality, token_counts, toxicity, url_filter
 from meterflow.llm.labelled import fold
 
 QUERIES = {}
@@ -57,6 +57,12 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query
+def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf, "pages").select("page_id", "url"))\
+        .select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf, "documents").select("doc_id", "text"))
