@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, jaccard, line_dedup, mixing, neighbours, quality, token_counts, toxicity, url_filter
+from meterflow.llm import backoff, decontaminate, jaccard, line_dedup, mixing, neighbours, quality, token_counts, toxicity, url_filter
 from meterflow.llm.labelled import fold
 
 QUERIES = {}
@@ -48,6 +48,14 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", mixing.domain(F.col("source")).alias("domain"), "lang", "source", "n_tokens", "copies")
 
 
+@query
+def op4_backoff(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 7) == 2
+    return backoff.score(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
