@@ -37,7 +37,7 @@ from meterflow.llm.words import codes_of, joined, mix, schema_with, sliced, with
 
 BLOCK = 16 << 20
 #: Weight of the words' distribution against a state's own counts.
-STRENGTH = 50.0
+STRENGTH = 200.0
 #: Codes of the end token, and of the state in which a text begins.
 END, BEGIN = np.uint64(1), np.uint64(2)
 _PAIR = mix(np.array([3], np.uint64))[0] | np.uint64(1)

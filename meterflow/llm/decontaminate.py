@@ -218,7 +218,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, c
 
 def cut_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, longest: int = 0) -> DataFrame:
     """All documents, less the hit spans of more than `longest` words."""
-    found = find_matches(docs, items, window)
+    found, names = find_matches(docs, items, window), docs.columns
 
     def work(batch):
         new = batch.column("text").to_pylist()
@@ -227,7 +227,7 @@ def cut_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, longest:
             if spans:
                 new[i] = _without(new[i].encode(), spans).decode()
         text = pa.array(new, batch.column("text").type)
-        return pa.RecordBatch.from_arrays([text if n == "text" else batch.column(n) for n in docs.columns],
-                                          names=docs.columns)
+        return pa.RecordBatch.from_arrays([text if n == "text" else batch.column(n) for n in names],
+                                          names=names)
 
     return found.mapInArrow(by_batch(work), docs.schema)

@@ -39,9 +39,13 @@ from meterflow.storage import materialise
 
 SHINGLE, PERCENT = 3, 90
 #: Shingles that a task searches in, about; a larger group is dealt into blocks.
-BLOCK = 2_000_000
+BLOCK = 500_000
 #: Sets of a group that are searched for first, in every block of it.
 PIVOTS = 8
+#: Lists of no more entries are always merged; lists that are probed at once.
+SHORT, PROBES = 32, 64
+#: Bits of the filter that says which documents to send to the search (64 MB at most).
+BITS_PER_MEMBER, MOST_BITS = 16, 1 << 29
 _FLUSH = 1 << 21
 
 
@@ -200,22 +204,24 @@ class Search:
         order = np.argsort(high - low, kind="stable")
         low, high, at = low[order], high[order], at[order]
         # the longest lists are probed: fewer than the overlap, so that a link has an entry in a short one
-        long = min(least - 1, int(least / (0.02 * np.log(max(2, high[-1] - low[-1])) + 1)))
+        sizes = high - low
+        long = min(least - 1, int(least / (0.02 * np.log(max(2, sizes[-1])) + 1)), int((sizes > SHORT).sum()))
         short = len(at) - long
-        sizes = (high - low)[:short]
+        sizes = sizes[:short]
         where = np.repeat(low[:short] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
         count = np.bincount(self.lists[where] % len(self.sets), minlength=len(self.sets))
         fits = (self.n * 100 >= n * p) & (n * 100 >= self.n * p)
         found = np.flatnonzero(fits & (count >= np.maximum(1, self.overlap(n, self.n) - long)))
         count = count[found]
-        for i in range(len(at) - 1, short - 1, -1):
-            keys = at[i] * len(self.sets) + found
+        for end in range(len(at), short, -PROBES):
+            begin = max(short, end - PROBES)
+            keys = at[begin:end, None] * len(self.sets) + found
             spot = np.searchsorted(self.lists, keys)
             spot[spot == len(self.lists)] = 0
-            count = count + (self.lists[spot] == keys)
-            if i % 32 == 0:  # what can't reach the overlap any more needs no further probes
-                able = count + (i - short) >= self.overlap(n, self.n[found])
-                found, count = found[able], count[able]
+            count = count + (self.lists[spot] == keys).sum(0)
+            # what can't reach the overlap any more needs no further probes
+            able = count + (begin - short) >= self.overlap(n, self.n[found])
+            found, count = found[able], count[able]
         return found[count >= self.overlap(n, self.n[found])]
 
 
@@ -326,6 +332,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
         .select("digest", "rep", "n_shingles", "grp", "pivot", "blocks", F.explode("block").alias("block")), "blocks")
     blocks = dealt.select("digest", "rep", "grp", F.when(F.col("pivot"), 0).otherwise(1).alias("rank"),
                           F.concat_ws("-", F.lit("b"), "grp", "block").alias("task"))
+    docs = _chosen(docs, members)
     links = materialise(_links(_with_text(small.union(blocks), docs), size, percent), "links")
     if not dealt.isEmpty():
         links = links.union(_across_blocks(dealt, links, docs, size, percent, block))
@@ -338,6 +345,28 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
                     F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
+def _chosen(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc_id, text) of the members' documents and a few others, without a shuffle of the rest."""
+    n = members.count()
+    bits = min(MOST_BITS, 1 << (max(1 << 15, n * BITS_PER_MEMBER) - 1).bit_length())
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    parts = (members.select(place("rep").alias("at")).groupBy(F.expr("at div 32768").alias("part"))
+             .agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits")))
+    filled = np.zeros(bits // 8, np.uint8)
+    for row in parts.toLocalIterator():  # 4 KB each, bits // 8 bytes in all
+        filled[row["part"] * 4096:(row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(filled)
+
+    def work(batches):
+        for batch in batches:
+            at = batch.column("at").to_numpy()
+            keep = (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(keep.astype(bool))).select(["doc_id", "text"])
+
+    own = docs.select("doc_id", "text", place("doc_id").alias("at"))
+    return own.mapInArrow(work, docs.select("doc_id", "text").schema)
+
+
 def _with_text(members: DataFrame, docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
     return (members.join(texts, members["rep"].eqNullSafe(texts["rep"]))
