@@ -95,7 +95,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: in
     """`pages` with host, path, rule and verdict; columns of these names are replaced."""
     own = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     host, path = host_and_path(F.col("url"))
-    urls = with_rule(pages.select(*own, host.alias("host"), path.alias("path")), rules)
+    # the page's own columns stay together, apart from those made here
+    urls = with_rule(pages.select(F.struct(*own).alias("page"), "url", host.alias("host"), path.alias("path")), rules)
     suffix = F.substring_index("host", ".", -2)
     urls = urls.withColumn("__suffix", suffix)
     labelled = (urls.where("__said IS NOT NULL").select("url", "host", "path", "__suffix", "__said").distinct()
@@ -106,7 +107,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: in
     n, blocked = statistics.agg(F.coalesce(F.sum("__n"), F.lit(0)), F.coalesce(F.sum("__blocked"), F.lit(0.0))).first()
     if blocked in (0, n):
         guess = F.lit("block" if n and blocked == n else "allow")
-        return urls.withColumn("verdict", F.coalesce("__said", guess)).drop("__said", "__suffix")
+        return urls.select("page.*", "host", "path", "rule", F.coalesce("__said", guess).alias("verdict"))
     features = lexical(F.col("url"), F.col("host"), F.col("path"))
     names = [*features, "__suffix_share", "__suffix_size"]
     gather = VectorAssembler(inputCols=names, outputCol="__features")
@@ -119,4 +120,4 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: in
     rows.unpersist()
     judged = trees.transform(gather.transform(_with_suffix(urls.withColumns(features), statistics, blocked / n)))
     guess = F.when(F.col("__blocks") > 0.5, "block").otherwise("allow")
-    return judged.select(*own, "host", "path", "rule", F.coalesce("__said", guess).alias("verdict"))
+    return judged.select("page.*", "host", "path", "rule", F.coalesce("__said", guess).alias("verdict"))
