@@ -8,14 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.numbers import kwh_units
-from meterflow.functions.times import floor_window, hour_start
+from meterflow.functions.times import hour_start
 from meterflow.operators.ordered import with_halo, without_halo
 from meterflow.schema import EMA_ALPHA, EMA_THRESHOLD
-from meterflow.storage import materialise
 
 KEY = ["meter_id", "ema_hour"]
-CHUNK = [*KEY, "ema_chunk"]
-CHUNK_ROWS = 1_000_000
 
 
 def ema_run(
@@ -47,39 +44,21 @@ def ema_run(
 def ema_anomaly(
     df: DataFrame, alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD,
     carry_in: DataFrame | None = None, order: Sequence[str] = ("reading_ts", "event_id"),
-    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add `is_anomaly_ema` and `ema_baseline` (the baseline after the reading).
 
-    A baseline is kept per meter and hour of day. Rows reach their task sorted
-    and are run through in batches, so no key is ever held in Python.
-    A key of more than `chunk_rows` rows is cut into chunks that run side by
-    side, see `_chunk_starts`. `carry_in` (meter_id, ema_hour, ema_baseline)
-    continues an earlier run.
+    A baseline is kept per meter and hour of day, some 22,000 readings a year.
+    Rows reach their task sorted and are run through in batches, so no key is
+    ever held in Python. A flagged reading leaves the baseline alone, so a key
+    cannot be cut and run side by side: long histories run load by load, each
+    from the baselines of the one before (`carry_in`: meter_id, ema_hour,
+    ema_baseline; `ema_baselines` makes them).
     """
     keyed = df.withColumn("ema_hour", F.hour("reading_ts"))
     starts = None
     if carry_in is not None:
         starts = carry_in.select(*KEY, F.col("ema_baseline").alias("start"))
-    large = keyed.groupBy(*KEY).count().filter(F.col("count") > chunk_rows).select(*KEY)
-    if large.isEmpty():
-        return _fold(keyed, KEY, starts, order, alpha, threshold).drop("ema_hour")
-
-    first = F.lit(0).cast("bigint").alias("ema_chunk")
-    chunks = _chunk_table(keyed, large, chunk_rows)
-    chunked = (
-        keyed.withColumn("_minute", floor_window(F.col("reading_ts"), 60))
-        .join(chunks, [*KEY, "_minute"], "left")
-        .withColumn("ema_chunk", F.coalesce("ema_chunk", first))
-        .drop("_minute")
-    )
-    if starts is not None:
-        starts = starts.select(*KEY, first, "start")
-    hot = chunked.join(large, KEY, "left_semi").select(*CHUNK, *order, "kwh_delta")
-    found = _chunk_starts(materialise(hot, "ema-hot"), starts, order, alpha, threshold)
-    if starts is not None:
-        found = found.unionByName(starts.join(large, KEY, "left_anti"))
-    return _fold(chunked, CHUNK, found, order, alpha, threshold).drop("ema_hour", "ema_chunk")
+    return _fold(keyed, KEY, starts, order, alpha, threshold).drop("ema_hour")
 
 
 def ema_baselines(flagged: DataFrame, order: Sequence[str] = ("reading_ts", "event_id")) -> DataFrame:
@@ -118,64 +97,13 @@ def rolling_anomaly(
     )
 
 
-def _chunk_table(keyed: DataFrame, large: DataFrame, chunk_rows: int) -> DataFrame:
-    """The chunk of every minute of the large keys, each chunk about `chunk_rows` rows."""
-    minutes = (
-        keyed.join(large, KEY, "left_semi")
-        .groupBy(*KEY, floor_window(F.col("reading_ts"), 60).alias("_minute")).count()
-    )
-    before = Window.partitionBy(*KEY).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
-    rows_before = F.coalesce(F.sum("count").over(before), F.lit(0))
-    dense = F.floor(rows_before / chunk_rows).cast("bigint")
-    return minutes.select(*KEY, "_minute", dense.alias("ema_chunk"))
-
-
-def _chunk_starts(
-    hot: DataFrame, carried: DataFrame | None, order: Sequence[str], alpha: float, threshold: float,
-) -> DataFrame:
-    """The exact baseline at the start of every chunk of the large keys.
-
-    Each chunk first runs from no baseline. A chunk whose predecessor ended on
-    another value than it was started with runs again from that value, until no
-    start changes. Two runs over the same rows meet after a few hundred
-    readings, so a chunk rarely runs more than twice; in the worst case there
-    are as many rounds as chunks, and the result is the same as one long run.
-    """
-    chunks = materialise(hot.select(*CHUNK).distinct(), "ema-chunks")
-    none = F.lit(None).cast("double")
-    if carried is None:
-        starts = chunks.withColumn("start", none)
-    else:
-        starts = chunks.join(carried, CHUNK, "left")
-    known = starts.withColumns({"end": none, "dirty": F.lit(True)})
-    in_key = Window.partitionBy(*KEY).orderBy("ema_chunk")
-    while True:
-        dirty = known.filter("dirty")
-        ends = _fold(
-            hot.join(dirty.select(*CHUNK), CHUNK, "left_semi"), CHUNK,
-            dirty.select(*CHUNK, "start"), order, alpha, threshold, last_only=True,
-        ).withColumnRenamed("ema_baseline", "new_end")
-        settled = known.join(ends, CHUNK, "left").withColumn("end", F.coalesce("new_end", "end"))
-        is_first = F.row_number().over(in_key) == 1
-        wanted = F.when(is_first, F.col("start")).otherwise(F.lag("end").over(in_key))
-        known = materialise(
-            settled.withColumn("_wanted", wanted)
-            .select(*CHUNK, F.col("_wanted").alias("start"), "end",
-                    (~F.col("_wanted").eqNullSafe(F.col("start"))).alias("dirty")),
-            "ema-starts",
-        )
-        if known.filter("dirty").isEmpty():
-            return known.filter(F.col("start").isNotNull()).select(*CHUNK, "start")
-
-
 def _fold(
     rows: DataFrame, keys: Sequence[str], starts: DataFrame | None, order: Sequence[str],
-    alpha: float, threshold: float, last_only: bool = False,
+    alpha: float, threshold: float,
 ) -> DataFrame:
     """Run the average over every key, from its row in `starts` if it has one.
 
-    A start travels as an extra row sorted to the head of its key. Gives the
-    rows with flag and baseline, or `last_only` the last baseline per key.
+    A start travels as an extra row sorted to the head of its key.
     """
     fed = rows.withColumn("_start", F.lit(None).cast("double"))
     if starts is not None:
@@ -187,11 +115,7 @@ def _fold(
     in_key = Window.partitionBy(*keys).orderBy(F.col("_start").isNull(), *order)
     value = F.coalesce("_start", "kwh_delta")
     marked = fed.withColumn("_fresh", F.row_number().over(in_key) == 1)
-    if last_only:
-        marked = marked.withColumn("_last", F.lead(F.lit(1)).over(in_key).isNull())
     ran = marked.withColumn("_ema", _running_average(alpha, threshold)(value, F.col("_fresh")))
-    if last_only:
-        return ran.filter("_last").select(*keys, F.col("_ema.baseline").alias("ema_baseline"))
     return ran.filter(F.col("_start").isNull()).select(
         *rows.columns, F.col("_ema.flag").alias("is_anomaly_ema"),
         F.col("_ema.baseline").alias("ema_baseline"))

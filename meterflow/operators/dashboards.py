@@ -108,7 +108,7 @@ def live_kpis(windows: DataFrame) -> DataFrame:
         F.sum("active_meter_count").alias("active_meters"),
         F.sum("silent_meter_count").alias("silent_meters"),
         F.sum("anomaly_count").alias("anomalous_readings"),
-        F.max_by("zone_id", "total_kwh").alias("peak_zone"),
+        F.min_by("zone_id", F.struct(-F.col("total_kwh"), "zone_id")).alias("peak_zone"),
     )
 
 
@@ -134,15 +134,8 @@ def fleet_status_totals(stg: DataFrame) -> DataFrame:
 
 
 def fleet_composition(stg: DataFrame, types: Sequence[str] = CUSTOMER_TYPES) -> DataFrame:
-    """Meters per zone and customer type, with the total over the types."""
-    wide = stg.groupBy("zone_id").pivot("customer_type", list(types)).agg(
-        F.count_distinct("meter_id"))
-    counts = [F.coalesce(F.col(t), F.lit(0)).cast("bigint").alias(t) for t in types]
-    return wide.select("zone_id", *counts).withColumn("total", _total(types))
-
-
-def _total(names: Sequence[str]) -> Column:
-    out = F.lit(0).cast("bigint")
-    for name in names:
-        out = out + F.col(name)
-    return out
+    """Meters per zone and customer type; `total` also has meters of another or no type."""
+    of_type = [F.max(F.coalesce(F.col("customer_type") == t, F.lit(False))).alias(t) for t in types]
+    meters = stg.filter(F.col("meter_id").isNotNull()).groupBy("zone_id", "meter_id").agg(*of_type)
+    counts = [F.count_if(F.col(t)).alias(t) for t in types]
+    return meters.groupBy("zone_id").agg(*counts, F.count("*").alias("total"))

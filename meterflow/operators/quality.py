@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.numbers import percent
+from meterflow.operators.windows import slot_grid
 from meterflow.schema import STATES, ZONES
 
 
@@ -77,13 +78,23 @@ def dq_duplicates(stg: DataFrame) -> DataFrame:
 
 
 def hour_completeness(stg: DataFrame, expected: DataFrame | Mapping[str, int]) -> DataFrame:
-    """Meters that reported per zone and hour against the expected number."""
+    """Meters that reported against the expected number, for every zone and hour from the first to the last.
+
+    The zones are those of `expected` and of the readings; an hour without any reading has 0 meters.
+    """
     seen = stg.groupBy("zone_id", "reading_hour").agg(F.count_distinct("meter_id").alias("meters"))
     if not isinstance(expected, DataFrame):
         expected = stg.sparkSession.createDataFrame(list(expected.items()), "zone_id string, n long")
-    return seen.join(expected, "zone_id", "left").select(
-        "zone_id", "reading_hour", "meters", F.col("n").alias("expected"),
-        percent(F.col("meters"), F.col("n")).alias("complete_pct"))
+    named = expected.select("zone_id", F.lit(None).cast("timestamp_ntz").alias("reading_hour"))
+    bounds = seen.select("zone_id", "reading_hour").unionByName(named).agg(
+        F.min("reading_hour").alias("lo"), F.max("reading_hour").alias("hi"), F.collect_set("zone_id").alias("zones"))
+    grid = slot_grid(bounds, 3600).withColumnRenamed("slot", "reading_hour")
+    return (
+        grid.join(seen, ["zone_id", "reading_hour"], "left").join(expected, "zone_id", "left")
+        .withColumn("meters", F.coalesce("meters", F.lit(0)))
+        .select("zone_id", "reading_hour", "meters", F.col("n").alias("expected"),
+                percent(F.col("meters"), F.col("n")).alias("complete_pct"))
+    )
 
 
 def voltage_out_of_band(stg: DataFrame, pct: float = 0.10) -> DataFrame:
@@ -102,16 +113,15 @@ def power_residuals(df: DataFrame, tol: float = 0.0005) -> DataFrame:
     return df.withColumn("residual_kw", residual).filter(F.col("residual_kw") > tol)
 
 
-# Lower edge in dBm of each signal band.
+# Default lower edge in dBm of each signal band; only the ends, -50 and -90, are given.
 SIGNAL_EDGES = {"excellent": -60, "good": -70, "fair": -80, "poor": -89}
 
 
 def signal_bands(stg: DataFrame, edges: Mapping[str, int] = SIGNAL_EDGES) -> DataFrame:
-    """Readings per zone and band of signal strength; below every edge is very poor."""
-    band = None
+    """Readings per zone and band of signal strength; below every edge is very poor, NULL is unknown."""
+    band = F.when(F.col("signal_strength_dbm").isNull(), "unknown")
     for name, edge in edges.items():
-        hit = F.col("signal_strength_dbm") >= edge
-        band = F.when(hit, name) if band is None else band.when(hit, name)
+        band = band.when(F.col("signal_strength_dbm") >= edge, name)
     return (
         stg.withColumn("signal_band", band.otherwise("very_poor"))
         .groupBy("zone_id", "signal_band").agg(F.count("*").alias("reading_count"))

@@ -34,7 +34,7 @@ def zone_window_agg(
     windows = placed.groupBy("zone_id", "window_start_ts").agg(
         sum_kwh(F.col("kwh_delta")).alias("total_kwh"),
         round_half_up(F.avg("power_kw"), 3).alias("avg_power_kw"),
-        F.greatest(F.lit(0.0), F.max("power_kw")).alias("peak_power_kw"),
+        round_half_up(F.greatest(F.lit(0.0), F.max("power_kw")), 3).alias("peak_power_kw"),
         round_half_up(F.avg("power_factor"), 3).alias("avg_power_factor"),
         round_half_up(F.avg("voltage"), 2).alias("avg_voltage"),
         round_half_up(F.avg("frequency_hz"), 3).alias("avg_frequency_hz"),
@@ -65,13 +65,18 @@ def in_window_order(windows: DataFrame) -> DataFrame:
 
 def with_silent(windows: DataFrame, expected: Expected) -> DataFrame:
     """Add `silent_meter_count`: expected meters that were not active, at least 0."""
-    if isinstance(expected, DataFrame):
-        windows = windows.join(expected.select("zone_id", F.col("n").alias("_n")), "zone_id", "left")
-        n = F.coalesce("_n", F.lit(EXPECTED_PER_ZONE))
-    else:
-        n = expected_count(F.col("zone_id"), expected)
-    silent = F.greatest(F.lit(0), n - F.col("active_meter_count")).cast("bigint")
-    return windows.withColumn("silent_meter_count", silent).drop("_n")
+    named = with_expected(windows, expected)
+    silent = F.greatest(F.lit(0), F.col("_n") - F.col("active_meter_count")).cast("bigint")
+    return named.withColumn("silent_meter_count", silent).drop("_n")
+
+
+def with_expected(windows: DataFrame, expected: Expected) -> DataFrame:
+    """Add `_n`, the expected meters of the zone, 100 where `expected` does not name it."""
+    if not isinstance(expected, DataFrame):
+        return windows.withColumn("_n", expected_count(F.col("zone_id"), expected))
+    counts = expected.select("zone_id", F.col("n").alias("_n"))
+    return windows.join(counts, "zone_id", "left").withColumn(
+        "_n", F.coalesce("_n", F.lit(EXPECTED_PER_ZONE)))
 
 
 def expected_count(zone_id: Column, expected: Mapping[str, int] | int) -> Column:
@@ -108,44 +113,55 @@ def with_demand_delta(windows: DataFrame) -> DataFrame:
     )
 
 
-def fill_window_grid(
-    windows: DataFrame, zones: Sequence[str] = ZONES, seconds: int = WINDOW_SECONDS,
-    expected: Mapping[str, int] | int = EXPECTED_PER_ZONE,
-) -> DataFrame:
-    """Every zone and slot between the first and last window, empty slots included."""
+def slot_grid(bounds: DataFrame, seconds: int) -> DataFrame:
+    """`zone_id, slot`: every slot from `lo` to `hi` for each of `zones`, from a row that has these three."""
     check_window(seconds)
-    bounds = windows.agg(F.min("window_start_ts").alias("lo"), F.max("window_start_ts").alias("hi"))
     day = F.expr("INTERVAL 1 DAY")
     days = F.sequence(F.col("lo").cast("date"), F.col("hi").cast("date"), day)
     in_day = F.transform(
         F.sequence(F.lit(0), F.lit(86400 - seconds), F.lit(seconds)),
         lambda s: F.col("d").cast("timestamp_ntz") + seconds_interval(s),
     )
-    grid = (
-        bounds.select("lo", "hi", F.explode(days).alias("d"))
-        .select("lo", "hi", "d", F.explode(F.array(*map(F.lit, zones))).alias("zone_id"))
-        .select("lo", "hi", "zone_id", F.explode(in_day).alias("window_start_ts"))
-        .filter(F.col("window_start_ts").between(F.col("lo"), F.col("hi")))
-        .select("zone_id", "window_start_ts")
+    return (
+        bounds.filter(F.col("lo").isNotNull())
+        .select("lo", "hi", "zones", F.explode(days).alias("d"))
+        .select("lo", "hi", "d", F.explode("zones").alias("zone_id"))
+        .select("lo", "hi", "zone_id", F.explode(in_day).alias("slot"))
+        .filter(F.col("slot").between(F.col("lo"), F.col("hi")))
+        .select("zone_id", "slot")
     )
+
+
+def fill_window_grid(
+    windows: DataFrame, zones: Sequence[str] = ZONES, seconds: int = WINDOW_SECONDS,
+    expected: Expected = EXPECTED_PER_ZONE,
+) -> DataFrame:
+    """Every slot between the first and last window, for `zones` and any other zone of the windows."""
+    every = F.array_union(F.collect_set("zone_id"), F.array(*map(F.lit, zones)))
+    bounds = windows.agg(F.min("window_start_ts").alias("lo"), F.max("window_start_ts").alias("hi"),
+                         every.alias("zones"))
+    grid = slot_grid(bounds, seconds).withColumnRenamed("slot", "window_start_ts")
     measured = windows.select("zone_id", "window_start_ts", "total_kwh", "active_meter_count")
     joined = grid.join(measured, ["zone_id", "window_start_ts"], "left")
-    active = F.coalesce("active_meter_count", F.lit(0))
-    silent = F.greatest(F.lit(0), expected_count(F.col("zone_id"), expected) - active)
-    return joined.select(
+    filled = joined.select(
         "zone_id", "window_start_ts",
         F.coalesce("total_kwh", F.lit(0.0)).alias("total_kwh"),
-        active.alias("active_meter_count"),
-        silent.cast("bigint").alias("silent_meter_count"),
+        F.coalesce("active_meter_count", F.lit(0)).alias("active_meter_count"),
         F.col("active_meter_count").isNull().alias("is_empty"),
     )
+    return with_silent(filled, expected).select(
+        "zone_id", "window_start_ts", "total_kwh", "active_meter_count", "silent_meter_count", "is_empty")
 
 
-def zone_outages(windows: DataFrame, ratio: float = 0.70) -> DataFrame:
-    """Windows in which at least `ratio` of the expected meters were silent."""
+def zone_outages(
+    windows: DataFrame, seconds: int = WINDOW_SECONDS, expected: Expected = EXPECTED_PER_ZONE,
+    ratio: float = 0.70, zones: Sequence[str] = ZONES,
+) -> DataFrame:
+    """Slots in which at least `ratio` of the expected meters were silent, those without a reading included."""
     share = F.col("silent_meter_count") / F.nullif(
         F.col("silent_meter_count") + F.col("active_meter_count"), F.lit(0))
-    return windows.withColumn("silent_ratio", round_half_up(share, 4)).filter(share >= ratio)
+    filled = fill_window_grid(windows, zones, seconds, expected)
+    return filled.withColumn("silent_ratio", round_half_up(share, 4)).filter(share >= ratio)
 
 
 def status_label() -> Column:

@@ -82,7 +82,7 @@ def n(condition: str) -> str:
 MEASURES = f"""
   {kwh('kwh_delta')} AS total_kwh,
   {rnd('avg(power_kw)', 3)} AS avg_power_kw,
-  greatest(0.0::DOUBLE, max(power_kw)) AS peak_power_kw,
+  {rnd('greatest(0.0::DOUBLE, max(power_kw))', 3)} AS peak_power_kw,
   {rnd('avg(power_factor)', 3)} AS avg_power_factor,
   {rnd('avg(voltage)', 2)} AS avg_voltage,
   {rnd('avg(frequency_hz)', 3)} AS avg_frequency_hz,
@@ -220,6 +220,36 @@ ZONE_DELTA = ask(WIN + f", lagged AS (SELECT *, {PREV} FROM win)", f"""
   SELECT zone_id, window_start_ts, total_kwh,
     CASE WHEN prev > 0 THEN {DELTA} END AS demand_vs_prev_window_pct FROM lagged""")
 
+
+
+def grid_cte(minutes: int) -> str:
+    return f"""slots AS (
+  SELECT unnest(generate_series(min(window_start_ts), max(window_start_ts), INTERVAL {minutes} MINUTE))
+    AS window_start_ts FROM win
+), zones AS (
+  SELECT unnest([{_ZONE_LIST[1:-1]}]) AS zone_id UNION SELECT zone_id FROM win
+), filled AS (
+  SELECT zone_id, window_start_ts, coalesce(w.total_kwh, 0.0) AS total_kwh,
+    coalesce(w.active_meter_count, 0) AS active_meter_count, w.active_meter_count IS NULL AS is_empty
+  FROM slots CROSS JOIN zones LEFT JOIN win w USING (zone_id, window_start_ts)
+)"""
+
+
+def grid(ctes: str, minutes: int, expected: str) -> str:
+    return ask(ctes + ", " + grid_cte(minutes), f"""
+      SELECT zone_id, window_start_ts, total_kwh, active_meter_count,
+        greatest(0, {expected} - active_meter_count) AS silent_meter_count, is_empty FROM filled""")
+
+
+def outages(minutes: int) -> str:
+    ratio = "silent_meter_count / nullif(CAST(silent_meter_count + active_meter_count AS DOUBLE), 0)"
+    return ask(window_ctes(minutes) + ", " + grid_cte(minutes) + """, counted AS (
+      SELECT zone_id, window_start_ts, active_meter_count,
+        greatest(0, coalesce(n, 100) - active_meter_count) AS silent_meter_count
+      FROM filled LEFT JOIN expected USING (zone_id))""", f"""
+      SELECT *, {rnd(ratio, 4)} AS silent_ratio FROM counted WHERE {ratio} >= 0.7::DOUBLE""")
+
+
 ORACLES = {
     "src_stream_replay": ask(READINGS, f"SELECT {PARSED_COLS} FROM readings"),
     "src_json_raw": ask(READINGS, f"SELECT event_id, kwh_delta, {HOUR_PARTS} FROM readings"),
@@ -258,6 +288,11 @@ ORACLES = {
         kwh_delta, voltage, current_amps, power_factor, power_kw,
         frequency_hz AS grid_frequency_hz, meter_state, is_anomaly, signal_strength_dbm,
         firmware_version, event_type, {ENRICHED} FROM odo"""),
+    "stg_readings_text": ask(ODO, f"""
+      SELECT event_id, meter_id, zone_id, customer_type, reading_ts, load_ts, kwh_reading,
+        kwh_delta, voltage, current_amps, power_factor, power_kw,
+        frequency_hz AS grid_frequency_hz, meter_state, is_anomaly, signal_strength_dbm,
+        firmware_version, event_type, {ENRICHED} FROM odo"""),
     "dq_bad_json": ask(READINGS, """
       SELECT arrival_seq,
         left('{"event_id":"' || event_id || '","meter_id":"' || meter_id || '"', 20) AS value
@@ -280,10 +315,12 @@ ORACLES = {
       SELECT event_id, meter_id, grid_frequency_hz FROM stg
       WHERE abs(grid_frequency_hz - 60) > 0.5::DOUBLE + 1e-9"""),
     "signal_bands": ask(READINGS, """
-      SELECT zone_id, CASE WHEN signal_strength_dbm >= -60 THEN 'excellent'
+      SELECT zone_id, CASE WHEN signal_strength_dbm IS NULL THEN 'unknown'
+        WHEN signal_strength_dbm >= -60 THEN 'excellent'
         WHEN signal_strength_dbm >= -70 THEN 'good' WHEN signal_strength_dbm >= -80 THEN 'fair'
         WHEN signal_strength_dbm >= -89 THEN 'poor' ELSE 'very_poor' END AS signal_band,
-        count(*) AS reading_count FROM readings GROUP BY 1, 2"""),
+        count(*) AS reading_count FROM (SELECT zone_id, signal_strength_dbm FROM readings
+          UNION ALL SELECT zone_id, NULL FROM readings) GROUP BY 1, 2"""),
     "power_residuals": ask(READINGS, """
       SELECT event_id, meter_id, power_kw, round(abs(power_kw
         - voltage * current_amps * power_factor / 1000.0::DOUBLE) + 1e-9, 6) AS residual_kw
@@ -300,10 +337,13 @@ ORACLES = {
       SELECT event_id, count(*) AS copies FROM
         (SELECT * FROM readings UNION ALL SELECT * FROM readings WHERE k % 25 = 0)
       GROUP BY 1 HAVING count(*) > 1"""),
-    "hour_completeness": ask(STG + f", {EXPECTED}", f"""
-      SELECT zone_id, reading_hour, count(DISTINCT meter_id) AS meters, any_value(n) AS expected,
-        {pct('count(DISTINCT meter_id)', 'any_value(n)')} AS complete_pct
-      FROM stg JOIN expected USING (zone_id) GROUP BY 1, 2"""),
+    "hour_completeness": ask(STG + f", {EXPECTED}" + """, slots AS (
+      SELECT unnest(generate_series(min(reading_hour), max(reading_hour), INTERVAL 1 HOUR)) AS reading_hour FROM stg
+    ), seen AS (
+      SELECT zone_id, reading_hour, count(DISTINCT meter_id) AS meters FROM stg GROUP BY 1, 2)""", f"""
+      SELECT zone_id, reading_hour, coalesce(meters, 0) AS meters, n AS expected,
+        {pct('coalesce(meters, 0)', 'n')} AS complete_pct
+      FROM expected CROSS JOIN slots LEFT JOIN seen USING (zone_id, reading_hour)"""),
     "gated_marts": ask(HEATMAP, """
       SELECT 'mart_demand_heatmap' AS mart, count(*) AS row_count FROM heatmap
       UNION ALL SELECT 'mart_zone_daily', count(*) FROM
@@ -325,28 +365,23 @@ ORACLES = {
         ROWS UNBOUNDED PRECEDING) AS window_start_ts FROM readings)""", f"""
       SELECT zone_id, window_start_ts, window_start_ts + INTERVAL 5 MINUTE AS window_end_ts,
         {MEASURES} FROM placed GROUP BY 1, 2"""),
-    "window_grid_filled": ask(WIN + """, slots AS (
-      SELECT unnest(generate_series(min(window_start_ts), max(window_start_ts), INTERVAL 5 MINUTE))
-        AS window_start_ts FROM win)""", """
-      SELECT z.zone_id, s.window_start_ts, coalesce(w.total_kwh, 0.0) AS total_kwh,
-        coalesce(w.active_meter_count, 0) AS active_meter_count,
-        greatest(0, 100 - coalesce(w.active_meter_count, 0)) AS silent_meter_count,
-        w.active_meter_count IS NULL AS is_empty
-      FROM slots s CROSS JOIN (VALUES ('ZONE-NORTH'), ('ZONE-SOUTH'), ('ZONE-EAST'), ('ZONE-WEST'),
-        ('ZONE-CENTRAL')) z(zone_id)
-      LEFT JOIN win w ON w.zone_id = z.zone_id AND w.window_start_ts = s.window_start_ts"""),
-    "zone_outages": ask(window_ctes(60), f"""
-      SELECT zone_id, window_start_ts, active_meter_count, silent_meter_count,
-        {rnd('silent_meter_count / CAST(silent_meter_count + active_meter_count AS DOUBLE)', 4)}
-          AS silent_ratio
-      FROM win WHERE silent_meter_count / CAST(silent_meter_count + active_meter_count AS DOUBLE)
-        >= 0.7::DOUBLE"""),
+    "window_grid_filled": grid(WIN, 5, "100"),
+    "window_grid_faulty": grid(FAULTY + f""", win AS (
+      SELECT zone_id, time_bucket(INTERVAL 5 MINUTE, reading_ts) AS window_start_ts, {MEASURES}
+      FROM faulty GROUP BY 1, 2)""", 5, "100"),
+    "zone_outages": outages(60),
+    "zone_outages_5m": outages(5),
     "expected_meters": ask(READINGS, """
       SELECT zone_id, t // 5 + CASE WHEN t % 5 > i THEN 1 ELSE 0 END AS n
       FROM (SELECT count(DISTINCT meter_id) AS t FROM readings) CROSS JOIN (VALUES
         ('ZONE-NORTH', 0), ('ZONE-SOUTH', 1), ('ZONE-EAST', 2), ('ZONE-WEST', 3),
         ('ZONE-CENTRAL', 4)) z(zone_id, i)"""),
     "ema_anomaly": EMA_FLAGS,
+    "ema_carried": EMA_FLAGS,
+    "baseline_lookup": ask(EMA + """, last AS (
+      SELECT meter_id, h, arg_max(base, i) AS base FROM fold GROUP BY 1, 2)""", """
+      SELECT m.meter_id, CAST(m.h AS INTEGER) AS ema_hour, round(coalesce(base, 0.0) + 1e-9, 6) AS ema_baseline
+      FROM (SELECT DISTINCT meter_id, unnest(range(24)) AS h FROM readings) m LEFT JOIN last USING (meter_id, h)"""),
     "ema_baselines": ask(EMA, """
       SELECT meter_id, CAST(h AS INTEGER) AS ema_hour,
         round(arg_max(base, i) + 1e-9, 6) AS ema_baseline FROM fold GROUP BY 1, 2"""),
@@ -453,7 +488,7 @@ ORACLES = {
         CAST(sum(active_meter_count) AS BIGINT) AS active_meters,
         CAST(sum(silent_meter_count) AS BIGINT) AS silent_meters,
         CAST(sum(anomaly_count) AS BIGINT) AS anomalous_readings,
-        arg_max(zone_id, total_kwh) AS peak_zone
+        arg_min(zone_id, (-total_kwh, zone_id)) AS peak_zone
       FROM win WHERE window_start_ts = (SELECT max(window_start_ts) FROM win)"""),
     "fleet_status_states": ask(STG, f"""
       SELECT meter_state, count(*) AS reading_count,

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from meterflow.functions import times
 from meterflow.operators import analysis, anomaly, dashboards, marts, quality, routing, windows
-from meterflow.operators.staging import staging, staging_from_readings
+from meterflow.operators.staging import staging, staging_from_readings, staging_from_text
 from meterflow.plans.hourly_load import build_marts
 from meterflow.sources import archive, legacy, raw
 from meterflow.sources import readings as src
 from meterflow.sources.readings import ORDER, readings
-from meterflow.storage import scratch_path
+from meterflow.storage import materialise, scratch_path
 from meterflow.streaming import anomaly as stream_anomaly
 from meterflow.streaming.sinks import start_log
 from meterflow.streaming.sources import parse_messages, read_stream, replay_readings
@@ -140,6 +140,11 @@ def stg_readings(spark, sf):
     return staging(raw.with_src(_json(spark, sf, ["load_ts"])))
 
 
+@query
+def stg_readings_text(spark, sf):
+    return staging_from_text(_json(spark, sf, ["load_ts"]))
+
+
 @query
 def dq_bad_json(spark, sf):
     _, bad = raw.split_bad(src.bad_json(readings(spark, sf)))
@@ -185,7 +190,8 @@ def frequency_out_of_band(spark, sf):
 
 @query
 def signal_bands(spark, sf):
-    return quality.signal_bands(_stg(spark, sf))
+    r = readings(spark, sf)
+    return quality.signal_bands(legacy.union_readings(r, legacy.as_legacy(r)))
 
 
 @query
@@ -278,10 +284,27 @@ def window_grid_filled(spark, sf):
     return windows.fill_window_grid(windows.zone_window_agg(readings(spark, sf)))
 
 
+def _outages(spark: SparkSession, sf: str, seconds: int) -> DataFrame:
+    r = readings(spark, sf)
+    return windows.zone_outages(
+        windows.zone_window_agg(r, seconds), seconds, windows.expected_meters(r)).select(
+        "zone_id", "window_start_ts", "active_meter_count", "silent_meter_count", "silent_ratio")
+
+
 @query
 def zone_outages(spark, sf):
-    return windows.zone_outages(_windows(spark, sf, 3600)).select(
-        "zone_id", "window_start_ts", "active_meter_count", "silent_meter_count", "silent_ratio")
+    return _outages(spark, sf, 3600)
+
+
+@query
+def zone_outages_5m(spark, sf):
+    return _outages(spark, sf, 300)
+
+
+@query
+def window_grid_faulty(spark, sf):
+    """A grid over windows that also have a zone no list names."""
+    return windows.fill_window_grid(windows.zone_window_agg(src.with_faults(readings(spark, sf))))
 
 
 @query
@@ -305,6 +328,27 @@ def ema_baselines(spark, sf):
     return last.withColumn("ema_baseline", F.round(F.col("ema_baseline") + 1e-9, 6))
 
 
+@query
+def ema_carried(spark, sf):
+    """The flags of two loads, the second from the baselines that the first has left."""
+    r = readings(spark, sf).select("arrival_seq", "event_id", "meter_id", "reading_ts", "kwh_delta")
+    early = F.col("reading_ts") < F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz")
+    first = materialise(anomaly.ema_anomaly(r.filter(early), order=ORDER), "first-load")
+    kept = materialise(anomaly.ema_baselines(first, ORDER), "baselines")
+    second = anomaly.ema_anomaly(r.filter(~early), carry_in=kept, order=ORDER)
+    return first.unionByName(second).select("event_id", "meter_id", "reading_ts", "is_anomaly_ema")
+
+
+@query
+def baseline_lookup(spark, sf):
+    """The baseline of every meter at every hour of day, 0.0 where it has no reading."""
+    known = anomaly.ema_baselines(_flagged(spark, sf), ORDER)
+    hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("ema_hour")
+    wanted = readings(spark, sf).select("meter_id").distinct().select("meter_id", hours)
+    found = anomaly.baseline_for_hour(known, wanted)
+    return found.withColumn("ema_baseline", F.round(F.col("ema_baseline") + 1e-9, 6))
+
+
 @query
 def rolling_anomaly(spark, sf):
     return anomaly.rolling_anomaly(readings(spark, sf), order=ORDER).select(

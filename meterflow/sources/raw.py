@@ -18,8 +18,9 @@ def load_raw(spark: SparkSession, path: str, where: Column | None = None) -> Dat
 
 
 def with_load_ts(df: DataFrame, ts: Column | None = None) -> DataFrame:
-    """Stamp the load time; pass it in to make a load repeatable."""
-    return df.withColumn("load_ts", F.localtimestamp() if ts is None else ts)
+    """Stamp the load time, in UTC; pass it in to make a load repeatable."""
+    now = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+    return df.withColumn("load_ts", now if ts is None else ts)
 
 
 def with_src(df: DataFrame) -> DataFrame:
@@ -77,9 +78,14 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 
 def dedup(df: DataFrame, watermark: str | None = None) -> DataFrame:
-    """One row per event_id; a stream needs a `watermark`, how far apart copies may arrive."""
+    """One row per event_id, in a batch the copy loaded first.
+
+    A stream needs a `watermark`, how far apart copies may arrive.
+    """
     if watermark is None:
-        return df.dropDuplicates(["event_id"])
+        own = F.xxhash64(*[c for c in df.columns if c != "src"])
+        first = F.struct("load_ts", own) if "load_ts" in df.columns else own
+        return df.groupBy("event_id").agg(F.min_by(F.struct("*"), first).alias("_first")).select("_first.*")
     timed = df.withColumn("_at", as_instant(F.col("reading_ts"))).withWatermark("_at", watermark)
     return timed.dropDuplicatesWithinWatermark(["event_id"]).drop("_at")
 

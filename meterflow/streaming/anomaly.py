@@ -1,8 +1,7 @@
-"""The hourly moving average over a stream, with the baselines of a meter as state."""
+"""The hourly moving average over a stream, with the baseline of a meter and hour as state."""
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,29 +25,20 @@ def stream_ema_anomaly(
 ) -> DataFrame:
     """Flag each reading of a stream; the readings of a micro-batch run in time order.
 
-    A group holds the new readings of one meter in one micro-batch, which the
-    limits of the source keep small. Its state is a baseline per hour of day.
+    A group holds the new readings of one meter and hour of day in one
+    micro-batch, which the limits of the source keep small. Its state is one number.
     """
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(["ema_hour", "reading_ts", "seq"])
-        baselines = list(state.get[0]) if state.exists else [None] * 24
-        hours, values = rows["ema_hour"].to_numpy(), rows["kwh_delta"].tolist()
-        cuts = [0, *(np.flatnonzero(np.diff(hours)) + 1).tolist(), len(values)]
-        flags, after = [], []
-        for begin, end in zip(cuts, cuts[1:]):
-            hour = int(hours[begin])
-            some_flags, some_after = ema_run(
-                values[begin:end], baselines[hour], alpha, threshold)
-            baselines[hour] = some_after[-1]
-            flags += some_flags
-            after += some_after
-        state.update((baselines,))
+        rows = pd.concat(list(frames)).sort_values(["reading_ts", "seq"])
+        start = state.get[0] if state.exists else None
+        flags, after = ema_run(rows["kwh_delta"].tolist(), start, alpha, threshold)
+        state.update((after[-1],))
         yield rows[COLUMNS].assign(is_anomaly_ema=flags, ema_baseline=after)
 
     fed = stream.select(
         *COLUMNS, F.col(seq).alias("seq"), F.hour("reading_ts").alias("ema_hour"))
     return (
-        fed.filter(F.col("kwh_delta").isNotNull()).groupBy("meter_id")
+        fed.filter(F.col("kwh_delta").isNotNull()).groupBy("meter_id", "ema_hour")
         .applyInPandasWithState(
-            run, FLAGGED, "baselines array<double>", "append", GroupStateTimeout.NoTimeout)
+            run, FLAGGED, "baseline double", "append", GroupStateTimeout.NoTimeout)
     )

@@ -109,7 +109,7 @@ def _measures(with_anomalies: bool) -> list[Column]:
     return [
         (F.sum("units") / 10000.0).alias("total_kwh"),
         round_half_up(F.sum("kw_sum") / n, 3).alias("avg_power_kw"),
-        F.greatest(F.lit(0.0), F.max("kw_max")).alias("peak_power_kw"),
+        round_half_up(F.greatest(F.lit(0.0), F.max("kw_max")), 3).alias("peak_power_kw"),
         round_half_up(F.sum("pf_sum") / n, 3).alias("avg_power_factor"),
         round_half_up(F.sum("volt_sum") / n, 2).alias("avg_voltage"),
         round_half_up(F.sum("hz_sum") / n, 3).alias("avg_frequency_hz"),
