@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm.words import codes_of, joined, mix, schema_with, sliced, with_columns
 
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 #: Weight of the words' distribution against a state's own counts.
 STRENGTH = 200.0
 #: Codes of the end token, and of the state in which a text begins.
@@ -51,7 +51,7 @@ class Tokens:
     def __init__(self, tables: Iterator[pa.RecordBatch]):
         codes, counts, train = [], [], []
         for batch in tables:
-            for piece in sliced(batch, 8 << 20):
+            for piece in sliced(batch, 4 << 20):
                 c, n = codes_of(piece.column("text"))
                 codes.append(c)
                 counts.append(n)

@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
     larger neighbours, then the smaller. Edges are as many as before at most,
     however large a component is, and about log(path length) rounds suffice.
     """
-    edges = _ordered(edges.select("u", "v").where("u <> v"))
+    edges = materialise(_ordered(edges.select("u", "v").where("u <> v")), "edges")
     last = None
     while True:
         edges = materialise(_small_star(_large_star(edges)), "stars")

@@ -46,7 +46,7 @@ PIVOTS = 8
 SHORT, PROBES = 32, 64
 #: Bits of the filter that says which documents to send to the search (64 MB at most).
 BITS_PER_MEMBER, MOST_BITS = 16, 1 << 29
-_FLUSH = 1 << 21
+_FLUSH = 1 << 19
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -161,7 +161,7 @@ def _group_links(docs: DataFrame, size: int, percent: int) -> DataFrame:
             return sliced(rows, 4 << 20)
 
         for batch in batches:
-            for piece in sliced(batch, 8 << 20):
+            for piece in sliced(batch, 4 << 20):
                 for name, codes in {digest(s): s for s in shingle_sets(piece.column("text"), size) if len(s)}.items():
                     keys.append(bands.signatures(codes))
                     nodes.append(np.full(len(keys[-1]), node_of(name)))
@@ -264,7 +264,7 @@ def _rows_of(batches: Iterator[pa.RecordBatch], size: int) -> dict:
     """The sets by group and digest, for rows whose text has the digest they were sent for."""
     out = {}
     for batch in batches:
-        for piece in sliced(batch, 8 << 20):
+        for piece in sliced(batch, 4 << 20):
             for s, d, g, q in zip(shingle_sets(piece.column("text"), size), piece.column("digest").to_pylist(),
                                   piece.column("grp").to_pylist(), piece.column("rank").to_pylist()):
                 if digest(s) == d:

@@ -30,7 +30,7 @@ BITS_PER_LINE, MOST_BITS = 16, 1 << 29
 #: Bits of a filter that one task merges; places of a key in a filter.
 SLICE_BITS, PLACES = 1 << 20, 2
 #: Places a task gathers before it hands them on.
-_FLUSH = 1 << 21
+_FLUSH = 1 << 19
 
 
 class Lines:
@@ -102,7 +102,7 @@ def seen_twice(docs: DataFrame, bits: int, min_chars: int) -> np.ndarray:
                 + [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)], names=["slice", "once", "twice"])
 
         for batch in batches:
-            rows = max(1, int(batch.num_rows * (8 << 20) / max(batch.nbytes, 1)))
+            rows = max(1, int(batch.num_rows * (4 << 20) / max(batch.nbytes, 1)))
             for i in range(0, batch.num_rows, rows):
                 lines = Lines(batch.column(0).slice(i, rows), min_chars)
                 held.append(places(lines.codes[lines.once_per_doc()], bits).ravel())

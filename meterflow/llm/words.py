@@ -114,7 +114,7 @@ def joined(parts: Iterable[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
-def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], most_bytes: int = 8 << 20):
+def by_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], most_bytes: int = 4 << 20):
     """`work` for mapInArrow, fed slices of whole rows that hold about `most_bytes` at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
