@@ -546,5 +546,16 @@ ORACLES = {
     "stream_zone_windows": ZONE_WINDOWS,
     "stream_zone_delta": ZONE_DELTA,
     "stream_ema_anomaly": EMA_FLAGS,
+    "live_pipeline": ask(
+        FULL.replace("AS current_amps FROM measured", "AS current_amps FROM measured WHERE k > 3"), "SELECT * FROM win"),
+    "stream_dead_letters": ask(READINGS, """
+      SELECT CASE k WHEN 0 THEN 'bad_json' WHEN 1 THEN 'missing_keys'
+        WHEN 2 THEN 'null_required' ELSE 'bad_timestamp' END AS reason, count(*) AS messages
+      FROM readings WHERE k BETWEEN 0 AND 3 GROUP BY 1"""),
+    "closed_windows": ask(READINGS + f""", agg AS (
+      SELECT zone_id, time_bucket(INTERVAL 5 MINUTE, reading_ts) AS window_start_ts, {MEASURES}
+      FROM readings GROUP BY 1, 2)""", """
+      SELECT *, window_start_ts + INTERVAL 5 MINUTE AS window_end_ts FROM agg
+      WHERE window_start_ts + INTERVAL 15 MINUTE <= (SELECT max(reading_ts) FROM readings)"""),
     "stream_zone_full": ask(FULL, "SELECT * FROM win"),
 }

@@ -14,8 +14,10 @@ from meterflow.sources import readings as src
 from meterflow.sources.readings import ORDER, readings
 from meterflow.storage import materialise, scratch_path
 from meterflow.streaming import anomaly as stream_anomaly
+from meterflow.streaming.live import run_live
 from meterflow.streaming.sinks import start_log
 from meterflow.streaming.sources import parse_messages, read_stream, replay_readings
+from meterflow.streaming.windows import closed_windows as stream_closed_windows
 from meterflow.streaming.windows import read_window_deltas, read_windows, start_window_log
 
 QUERIES = {}
@@ -584,12 +586,40 @@ def stream_ema_anomaly(spark, sf):
         "event_id", "meter_id", "reading_ts", "is_anomaly_ema")
 
 
+def _live(spark: SparkSession, sf: str, values: DataFrame) -> str:
+    """Run the live path over JSON messages and return its folder."""
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "live")
+    values.write.text(topic)
+    run_live(read_stream(spark, "files", path=topic), out, scratch_path(spark, "offsets")).awaitTermination()
+    return out
+
+
 @query
 def stream_zone_full(spark, sf):
-    flagged = spark.readStream.schema(stream_anomaly.FLAGGED).parquet(
-        f"{_flag_log(spark, sf)}/batch_id=*")
-    out = scratch_path(spark, "window-log")
-    start_window_log(
-        flagged, out, scratch_path(spark, "offsets"), anomaly="is_anomaly_ema").awaitTermination()
-    expected = windows.expected_meters(readings(spark, sf))
-    return read_window_deltas(spark, out, expected=expected, with_anomalies=True)
+    r = readings(spark, sf)
+    out = _live(spark, sf, src.as_json(r.withColumn("kwh_reading", F.lit(0.0))))
+    return read_window_deltas(
+        spark, f"{out}/parts", expected=windows.expected_meters(r), with_anomalies=True)
+
+
+@query
+def live_pipeline(spark, sf):
+    """Messages with unusable ones among them, through flags and parts to the windows."""
+    r = readings(spark, sf)
+    out = _live(spark, sf, src.bad_json(r).select("value"))
+    expected = windows.expected_meters(r.filter("k > 3"))
+    return read_window_deltas(spark, f"{out}/parts", expected=expected, with_anomalies=True)
+
+
+@query
+def stream_dead_letters(spark, sf):
+    out = _live(spark, sf, src.bad_json(readings(spark, sf)).select("value"))
+    return spark.read.parquet(f"{out}/dead").groupBy("reason").agg(F.count("*").alias("messages"))
+
+
+@query
+def closed_windows(spark, sf):
+    out = scratch_path(spark, "closed")
+    closed = stream_closed_windows(replay_readings(spark, sf))
+    start_log(closed, out, scratch_path(spark, "offsets")).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.schema import READING_SCHEMA
+from meterflow.sources.raw import with_reason
 from meterflow.sources.readings import EVENTS_SCHEMA, from_events
 
 
@@ -12,11 +13,11 @@ def read_stream(
     topic: str = "meter.readings", starting: str = "earliest", max_files: int = 1000,
     max_offsets: int = 5_000_000,
 ) -> DataFrame:
-    """Messages as `key` and `value` text.
+    """Messages as `key` and `value` text, with their `partition`, `offset` and time of arrival.
 
     `source="kafka"` reads a topic (its package has to be on the class path);
-    `source="files"` replays JSON Lines below `path`, keyed by zone. Both limit
-    what one micro-batch takes in.
+    `source="files"` replays JSON Lines below `path`, keyed by zone, where the
+    last three are NULL. Both limit what one micro-batch takes in.
     """
     if source == "kafka":
         messages = (
@@ -24,21 +25,43 @@ def read_stream(
             .option("subscribe", topic).option("startingOffsets", starting)
             .option("maxOffsetsPerTrigger", max_offsets).load()
         )
-        return messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
+        return messages.select(
+            F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset",
+            F.col("timestamp").alias("arrived"))
     if source == "files":
         lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
-        return lines.select(F.get_json_object("value", "$.zone_id").alias("key"), "value")
+        return lines.select(
+            F.get_json_object("value", "$.zone_id").alias("key"), "value",
+            F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset"),
+            F.lit(None).cast("timestamp").alias("arrived"))
     raise ValueError(f"unknown source {source!r}")
 
 
+def check_messages(messages: DataFrame) -> DataFrame:
+    """Every message with its typed fields and `reason`, why it cannot be used; NULL if it can.
+
+    `arrival_seq` orders the messages of a meter: the offset, and without one the number in the event id.
+    """
+    judged = with_reason(messages)
+    fields = {
+        f.name: F.try_variant_get("src", f"$.{f.name}", f.dataType.simpleString())
+        for f in READING_SCHEMA.fields
+    }
+    fields["reading_ts"] = fields.pop("timestamp").try_cast("timestamp_ntz")
+    typed = [value.alias(name) for name, value in fields.items()]
+    seq = F.coalesce("offset", F.col("event_id").try_cast("long"))
+    return judged.select(*messages.columns, "reason", *typed).withColumn("arrival_seq", seq)
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Typed readings of the messages that are usable."""
-    # inline keeps the filter below from parsing once per column
-    parsed = messages.select(F.inline(F.array(F.from_json("value", READING_SCHEMA))))
-    ts = F.col("timestamp").try_cast("timestamp_ntz")
-    needed = ["meter_id", "zone_id", "kwh_delta", "power_kw", "voltage", "power_factor",
-              "frequency_hz", "meter_state", "reading_ts"]
-    return parsed.withColumn("reading_ts", ts).drop("timestamp").dropna("any", subset=needed)
+    """Typed readings of the messages that are usable; `dead_letters` has the others."""
+    return check_messages(messages).filter(F.col("reason").isNull()).drop("reason", "key", "value")
+
+
+def dead_letters(messages: DataFrame) -> DataFrame:
+    """The messages that cannot be used, as they came, with the reason."""
+    return check_messages(messages).filter(F.col("reason").isNotNull()).select(
+        *messages.columns, "reason")
 
 
 def replay_readings(spark: SparkSession, sf_dir: str, max_files: int = 1000) -> DataFrame:

@@ -37,12 +37,14 @@ def start_window_log(
     late it comes, and the last windows are there without a flush.
     """
     check_window(seconds)
+    return start_log(
+        stream, path, checkpoint, lambda batch: window_parts(batch, seconds, anomaly), **trigger)
 
-    def parts(batch: DataFrame) -> DataFrame:
-        start = floor_window(F.col("reading_ts"), seconds).alias("window_start_ts")
-        return batch.groupBy("zone_id", start, "meter_id").agg(*_part_sums(anomaly))
 
-    return start_log(stream, path, checkpoint, parts, **trigger)
+def window_parts(batch: DataFrame, seconds: int = WINDOW_SECONDS, anomaly: str | None = None) -> DataFrame:
+    """Sums per zone, window and meter of the readings of a micro-batch."""
+    start = floor_window(F.col("reading_ts"), seconds).alias("window_start_ts")
+    return batch.groupBy("zone_id", start, "meter_id").agg(*_part_sums(anomaly))
 
 
 def closed_windows(
@@ -68,10 +70,12 @@ def closed_windows(
 
 def read_windows(
     spark: SparkSession, path: str, seconds: int = WINDOW_SECONDS, expected: Expected = None,
-    with_anomalies: bool = False,
+    with_anomalies: bool = False, since: Column | None = None,
 ) -> DataFrame:
-    """Zone windows from the log of window parts."""
+    """Zone windows from the log of window parts, those from `since` on."""
     log = spark.read.schema(PART_SCHEMA).parquet(path)
+    if since is not None:
+        log = log.filter(F.col("window_start_ts") >= since)
     meters = log.groupBy(*PART_KEYS).agg(
         *[F.sum(c).alias(c) for c in SUMS], F.max("kw_max").alias("kw_max"))
     windows = meters.groupBy("zone_id", "window_start_ts").agg(*_measures(with_anomalies))
