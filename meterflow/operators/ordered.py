@@ -26,21 +26,18 @@ def running_by_slot(
     # structs are equal where their NULL fields are, so a row with a NULL key finds its own total
     placed = df.withColumn("_at", F.struct(*keys, slot.alias("_slot")))
     inside = Window.partitionBy("_at").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = placed.withColumns({
-        "_within": fold(value).over(inside),
-        "_last": F.lead(F.lit(1)).over(Window.partitionBy("_at").orderBy(*order)).isNull(),
-    })
     before = Window.partitionBy(F.struct(*[F.col(f"_at.{k}") for k in keys])).orderBy("_at._slot").rowsBetween(
         Window.unboundedPreceding, -1)
-    # the last row of a slot has its total: both sides of the join come from one exchange
-    carried = summed.filter("_last").select("_at", fold("_within").over(before).alias("_carried"))
+    # totals are added up before they are shuffled, from no more columns than they need
+    totals = placed.groupBy("_at").agg(fold(value).alias("_total"))
+    carried = totals.select("_at", fold("_total").over(before).alias("_carried"))
     if how == "sum":
         total = F.coalesce(F.col("_carried"), F.lit(0)) + F.col("_within")
     else:
         total = F.greatest("_carried", "_within")
     return (
-        summed.join(carried, "_at", "left").withColumn(out, total)
-        .drop("_at", "_within", "_last", "_carried")
+        placed.withColumn("_within", fold(value).over(inside)).join(carried, "_at", "left")
+        .withColumn(out, total).drop("_at", "_within", "_carried")
     )
 
 

@@ -1,5 +1,7 @@
 """The staging view: typed readings with derived columns, one row per event."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -8,11 +10,13 @@ from meterflow.functions.times import day_of_week, day_start, floor_window, hour
 from meterflow.schema import LOW_POWER_FACTOR, READING_SCHEMA, WINDOW_SECONDS
 
 
-def staging(raw: DataFrame, strict: bool = True, low_pf: float = LOW_POWER_FACTOR) -> DataFrame:
+def staging(
+    raw: DataFrame, strict: bool = True, low_pf: float = LOW_POWER_FACTOR, keep: Sequence[str] = (),
+) -> DataFrame:
     """Staging rows from raw rows (`src` variant, `load_ts`).
 
     A missing key gives NULL. A value of the wrong type raises when `strict`,
-    and gives NULL otherwise.
+    and gives NULL otherwise. `keep` names further columns of `raw` to put last.
     """
     get = F.variant_get if strict else F.try_variant_get
     to_time = F.to_timestamp_ntz if strict else _try_time
@@ -20,7 +24,7 @@ def staging(raw: DataFrame, strict: bool = True, low_pf: float = LOW_POWER_FACTO
     for field in READING_SCHEMA.fields:
         value = get(F.col("src"), f"$.{field.name}", field.dataType.simpleString())
         cols.append(_staged(field.name, value, to_time))
-    return enrich(raw.select(*cols, "load_ts"), low_pf)
+    return enrich(raw.select(*cols, "load_ts", *keep), low_pf)
 
 
 def staging_from_text(raw: DataFrame, low_pf: float = LOW_POWER_FACTOR) -> DataFrame:

@@ -1,16 +1,17 @@
 """The hourly batch: raw hours -> staging -> checks -> marts."""
 
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from meterflow.operators.marts import (
     mart_customer_segment, mart_demand_heatmap, mart_fault_summary, mart_zone_daily,
 )
 from meterflow.operators.quality import dq_report, failed_checks
 from meterflow.operators.staging import staging
-from meterflow.sources.archive import hours_between, ready_hours
-from meterflow.sources.raw import load_raw, split_bad, with_load_ts
+from meterflow.sources.archive import HOUR_COLS, hours_between, ready_hours
+from meterflow.sources.raw import load_raw, with_load_ts, with_reason
 
 MARTS = {
     "mart_demand_heatmap": mart_demand_heatmap,
@@ -31,33 +32,73 @@ class ChecksFailed(Exception):
 
 def run_hourly_load(
     spark: SparkSession, raw_path: str, out: str, hours: tuple[datetime, datetime],
-    load_ts: Column | None = None,
+    load_ts: Column | None = None, pattern: str = "*", staging_schema: str = "staging", mart_schema: str = "mart",
 ) -> dict[str, DataFrame] | None:
     """Stage the raw hours [start, end) and rebuild the four marts if the checks pass.
 
-    Returns None while no file of these hours has arrived. The typed rows are
-    written once under `out/staging`, an hour range per run, so that marts read
-    every loaded hour as columns instead of parsing JSON again.
+    Returns None while no file of these hours, with a name that fits `pattern`,
+    has arrived. The raw text is parsed once. Under `out/<staging_schema>` every
+    event hour has a folder, and a load replaces exactly the hours it loads: it
+    can run again, overlap another or fill a gap, and nothing counts twice. Of
+    copies of an event the first loaded stays. An event that cannot be used is
+    kept there too, as text and with the `reason`, and stops no load.
     """
     where = hours_between(*hours)
-    if ready_hours(spark, raw_path).filter(where).isEmpty():
+    if ready_hours(spark, raw_path, pattern).filter(where).isEmpty():
         return None
-    good, bad = split_bad(with_load_ts(load_raw(spark, raw_path, where), load_ts))
-    loaded = f"{out}/staging/load={hours[0]:%Y%m%d%H}-{hours[1]:%Y%m%d%H}"
-    staging(good).write.mode("overwrite").parquet(loaded)
-    bad.write.mode("overwrite").parquet(f"{out}/rejected/load={hours[0]:%Y%m%d%H}-{hours[1]:%Y%m%d%H}")
-    stg = spark.read.parquet(f"{out}/staging")
+    lines = with_reason(with_load_ts(load_raw(spark, raw_path, where), load_ts))
+    bad = F.col("reason").isNotNull()
+    typed = staging(lines, strict=False, keep=["value", "reason", *HOUR_COLS])
+    # usable events are grouped by id; other rows all stay, spread by their text
+    single = bad | F.col("event_id").isNull()
+    place = F.when(single, F.xxhash64("value").cast("string")).otherwise(F.col("event_id"))
+    copies = Window.partitionBy("_place", "_single").orderBy("load_ts", F.xxhash64("value"))
+    once = (
+        typed.withColumns({"_single": single, "_place": place})
+        .withColumn("_copy", F.row_number().over(copies))
+        .filter("_copy = 1 OR _single").drop("_place", "_single", "_copy")
+        .withColumn("value", F.when(bad, F.col("value")))
+    )
+    staged = f"{out}/{staging_schema}"
+    (
+        once.hint("rebalance", *HOUR_COLS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*HOUR_COLS).parquet(staged)
+    )
+    stg = read_staging(spark, staged)
     stg.createOrReplaceTempView("stg_meter_readings")
-    return build_marts(stg, f"{out}/mart")
+    return build_marts(stg, f"{out}/{mart_schema}")
+
+
+def read_staging(spark: SparkSession, path: str) -> DataFrame:
+    """The usable events of all loads, as staging rows."""
+    return spark.read.parquet(path).filter(F.col("reason").isNull()).drop("value", "reason", *HOUR_COLS)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The events of all loads that cannot be used: text, reason, load time and hour folder."""
+    return spark.read.parquet(path).filter(F.col("reason").isNotNull()).select(
+        "value", "reason", "load_ts", *HOUR_COLS)
 
 
 def build_marts(stg: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Write the marts under `out`, or raise `ChecksFailed` and leave them as they are."""
+    """Write a new version of all marts under `out`, or raise `ChecksFailed` and leave them as they are.
+
+    Readers see a version (`read_marts`) when its entry in `out/versions` is
+    there, which is written last: never some marts of one load and some of another.
+    """
     failed = failed_checks(dq_report(stg)).collect()  # one row per check
     if failed:
         raise ChecksFailed(failed)
-    built = {}
+    spark = stg.sparkSession
+    version = f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
     for name, mart in MARTS.items():
-        mart(stg).write.mode("overwrite").parquet(f"{out}/{name}")
-        built[name] = stg.sparkSession.read.parquet(f"{out}/{name}")
-    return built
+        mart(stg).write.mode("overwrite").parquet(f"{out}/{version}/{name}")
+    entry = spark.createDataFrame([(version,)], "version string")
+    entry.coalesce(1).write.mode("append").parquet(f"{out}/versions")
+    return read_marts(spark, out)
+
+
+def read_marts(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The marts of the latest whole version."""
+    version = spark.read.parquet(f"{out}/versions").agg(F.max("version")).first()[0]
+    return {name: spark.read.parquet(f"{out}/{version}/{name}") for name in MARTS}

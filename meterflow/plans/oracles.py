@@ -222,6 +222,17 @@ ZONE_DELTA = ask(WIN + f", lagged AS (SELECT *, {PREV} FROM win)", f"""
 
 
 
+MART_ROWS = ask(HEATMAP + f""", daily AS (
+  SELECT zone_id || '|' || strftime(reading_date, '%Y-%m-%d') AS keys, {kwh('kwh_delta')} AS total_kwh,
+    count(DISTINCT meter_id) AS meters, {n('is_degraded OR is_fault OR is_silent')} AS faults
+  FROM stg GROUP BY 1)""", f"""
+  SELECT 'mart_demand_heatmap' AS mart, concat_ws('|', zone_id, hour_of_day, day_of_week_num) AS keys,
+    total_kwh AS measure, reading_count AS readings FROM heatmap
+  UNION ALL SELECT 'mart_zone_daily', keys, total_kwh, meters FROM daily
+  UNION ALL SELECT 'mart_fault_summary', keys, 0.0, faults FROM daily
+  UNION ALL SELECT 'mart_customer_segment', customer_type, {kwh('kwh_delta')}, 0 FROM stg GROUP BY 2""")
+
+
 def grid_cte(minutes: int) -> str:
     return f"""slots AS (
   SELECT unnest(generate_series(min(window_start_ts), max(window_start_ts), INTERVAL {minutes} MINUTE))
@@ -344,13 +355,8 @@ ORACLES = {
       SELECT zone_id, reading_hour, coalesce(meters, 0) AS meters, n AS expected,
         {pct('coalesce(meters, 0)', 'n')} AS complete_pct
       FROM expected CROSS JOIN slots LEFT JOIN seen USING (zone_id, reading_hour)"""),
-    "gated_marts": ask(HEATMAP, """
-      SELECT 'mart_demand_heatmap' AS mart, count(*) AS row_count FROM heatmap
-      UNION ALL SELECT 'mart_zone_daily', count(*) FROM
-        (SELECT DISTINCT zone_id, reading_date FROM stg)
-      UNION ALL SELECT 'mart_fault_summary', count(*) FROM
-        (SELECT DISTINCT zone_id, reading_date FROM stg)
-      UNION ALL SELECT 'mart_customer_segment', count(DISTINCT customer_type) FROM stg"""),
+    "gated_marts": MART_ROWS,
+    "hourly_load": MART_ROWS,
     "gate_result": ask(FAULTY + f", report AS ({REPORT})", f"""
       SELECT count(*) AS checks, {n('failed_rows > 0')} AS failed_checks,
         CAST(sum(failed_rows) AS BIGINT) AS failed_rows,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterflow.functions import times
 from meterflow.operators import analysis, anomaly, dashboards, marts, quality, routing, windows
 from meterflow.operators.staging import staging, staging_from_readings, staging_from_text
-from meterflow.plans.hourly_load import build_marts
+from meterflow.plans.hourly_load import build_marts, run_hourly_load
 from meterflow.sources import archive, legacy, raw
 from meterflow.sources import readings as src
 from meterflow.sources.readings import ORDER, readings
@@ -236,15 +236,40 @@ def hour_completeness(spark, sf):
     return quality.hour_completeness(stg, windows.expected_meters(stg))
 
 
+def _mart_totals(built: dict[str, DataFrame]) -> DataFrame:
+    """The marts' rows in one frame: a name, the keys as text, and a measure."""
+    parts = [
+        built["mart_demand_heatmap"].select(
+            F.lit("mart_demand_heatmap").alias("mart"),
+            F.concat_ws("|", "zone_id", "hour_of_day", "day_of_week_num").alias("keys"),
+            F.col("total_kwh").alias("measure"), F.col("reading_count").alias("readings")),
+        built["mart_zone_daily"].select(
+            F.lit("mart_zone_daily"), F.concat_ws("|", "zone_id", F.date_format("reading_date", "yyyy-MM-dd")),
+            "total_kwh", "active_meter_count"),
+        built["mart_fault_summary"].select(
+            F.lit("mart_fault_summary"), F.concat_ws("|", "zone_id", F.date_format("reading_date", "yyyy-MM-dd")),
+            F.lit(0.0), "total_fault_readings"),
+        built["mart_customer_segment"].select(
+            F.lit("mart_customer_segment"), "customer_type", "total_kwh", F.lit(0).cast("long")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
 @query
 def gated_marts(spark, sf):
-    built = build_marts(_stg(spark, sf), scratch_path(spark, "marts"))
-    counts = [df.agg(F.lit(name).alias("mart"), F.count("*").alias("row_count"))
-              for name, df in built.items()]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    return _mart_totals(build_marts(_stg(spark, sf), scratch_path(spark, "marts")))
+
+
+@query
+def hourly_load(spark, sf):
+    """Raw text to marts, in two loads that overlap by five days."""
+    path, out = _archive(spark, sf), scratch_path(spark, "load")
+    stamp = F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz")
+    run_hourly_load(spark, path, out, (datetime(2024, 1, 1), datetime(2024, 1, 20)), stamp)
+    return _mart_totals(run_hourly_load(spark, path, out, (datetime(2024, 1, 15), datetime(2024, 3, 1)), stamp))
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterflow.operators.routing import to_push_rows
 from meterflow.operators.windows import Expected, in_window_order, with_demand_delta
-from meterflow.schema import WINDOW_SECONDS
+from meterflow.schema import EXPECTED_PER_ZONE, WINDOW_SECONDS
 from meterflow.streaming.anomaly import FLAGGED, stream_ema_anomaly
 from meterflow.streaming.sources import check_messages
 from meterflow.streaming.windows import read_windows, window_parts
@@ -19,7 +19,7 @@ LOOK_BACK = "INTERVAL 1 DAY"
 
 def run_live(
     messages: DataFrame, out: str, checkpoint: str, seconds: int = WINDOW_SECONDS,
-    deliver: Callable[[DataFrame, int], None] | None = None, expected: Expected = None, **trigger,
+    deliver: Callable[[DataFrame, int], None] | None = None, expected: Expected = EXPECTED_PER_ZONE, **trigger,
 ) -> StreamingQuery:
     """Check, flag and aggregate messages, and hand the windows they touch to `deliver`.
 
@@ -57,7 +57,7 @@ def run_live(
 
 
 def touched_windows(
-    spark: SparkSession, out: str, batch_id: int, seconds: int = WINDOW_SECONDS, expected: Expected = None,
+    spark: SparkSession, out: str, batch_id: int, seconds: int = WINDOW_SECONDS, expected: Expected = EXPECTED_PER_ZONE,
 ) -> DataFrame:
     """Push rows of the windows that a micro-batch has readings of.
 

@@ -62,22 +62,19 @@ def python_ema(rows, start=None):
     return flags, base
 
 
-@pytest.mark.parametrize("chunk_rows", [1_000_000, 100, 20, 3])
-def test_ema_equals_one_long_run(df, chunk_rows):
+def test_ema_equals_one_long_run(df):
     want, base = python_ema(ROWS)
-    got = anomaly.ema_anomaly(df, order=ORDER, chunk_rows=chunk_rows)
+    got = anomaly.ema_anomaly(df, order=ORDER)
     assert {r.event_id: r.is_anomaly_ema for r in got.collect()} == want
     last = anomaly.ema_baselines(got, ORDER).collect()
     assert {(r.meter_id, r.ema_hour): r.ema_baseline for r in last} == base
 
 
-@pytest.mark.parametrize("chunk_rows", [1_000_000, 20])
-def test_ema_continues_from_carried_baselines(df, chunk_rows):
+def test_ema_continues_from_carried_baselines(df):
     half = len(ROWS) // 2
-    first = anomaly.ema_anomaly(df.filter(F.col("seq") < half), order=ORDER, chunk_rows=chunk_rows)
+    first = anomaly.ema_anomaly(df.filter(F.col("seq") < half), order=ORDER)
     carried = anomaly.ema_baselines(first, ORDER)
-    second = anomaly.ema_anomaly(
-        df.filter(F.col("seq") >= half), carry_in=carried, order=ORDER, chunk_rows=chunk_rows)
+    second = anomaly.ema_anomaly(df.filter(F.col("seq") >= half), carry_in=carried, order=ORDER)
     want, _ = python_ema(ROWS)
     got = {r.event_id: r.is_anomaly_ema for r in first.unionByName(second).collect()}
     assert got == want
@@ -190,3 +187,10 @@ def test_arrival_windows_equal_the_loop(spark, monkeypatch, per_slot):
     df = df.withColumns({m: F.lit(1.0) for m in measures}).withColumn("meter_state", F.lit("normal"))
     got = windows.zone_window_agg(df.repartition(4), late="arrival", order=("arrival",)).collect()
     assert {(r.zone_id, r.window_start_ts): r.total_kwh for r in got} == dict(want)
+
+
+def test_running_total_of_null_keys(spark):
+    rows = [(None, START, 1, 0), (None, START + dt.timedelta(hours=1), 2, 1), ("A", START, 4, 2), (None, None, 8, 3)]
+    df = spark.createDataFrame(rows, "meter_id string, reading_ts timestamp_ntz, units long, seq long")
+    out = running_by_slot(df, ["meter_id"], ORDER, hour_start(F.col("reading_ts")), "units", "total")
+    assert {r.seq: r.total for r in out.collect()} == {3: 8, 0: 9, 1: 11, 2: 4}

@@ -7,14 +7,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterflow.operators import anomaly, routing, windows
-from meterflow.plans.hourly_load import MARTS, ChecksFailed, build_marts, run_hourly_load
+from meterflow.plans.hourly_load import (
+    MARTS, ChecksFailed, build_marts, read_marts, read_rejected, read_staging, run_hourly_load,
+)
 from meterflow.operators.staging import staging_from_readings
 from meterflow.sources import archive, raw
 from meterflow.sources.readings import (
-    EVENTS_SCHEMA, ORDER, as_json, from_events, out_of_order, readings, with_faults, with_odometer,
+    EVENTS_SCHEMA, ORDER, as_json, bad_json, from_events, out_of_order, readings, with_faults, with_odometer,
 )
 from meterflow.storage import scratch_path
 from meterflow.streaming.anomaly import stream_ema_anomaly
+from meterflow.streaming.live import run_live
 from meterflow.streaming.sinks import (
     read_latest, start_archive, start_log, start_push, start_routed,
 )
@@ -193,7 +196,66 @@ def test_hourly_load_skips_broken_lines(spark, raw_path, tmp_path):
     (tmp_path / "raw/year=2024/month=01/day=05/hour=00").mkdir(parents=True, exist_ok=True)
     (tmp_path / "raw/year=2024/month=01/day=05/hour=00/broken.txt").write_text('{"meter_id": \n')
     assert run_hourly_load(spark, raw_path, str(tmp_path / "out"), HOURS) is not None
-    assert spark.read.parquet(str(tmp_path / "out/rejected")).count() == 1
+    assert [r.reason for r in read_rejected(spark, str(tmp_path / "out/staging")).collect()] == ["bad_json"]
+
+
+def test_overlapping_loads_count_once(spark, raw_path, tmp_path):
+    out, noon = str(tmp_path / "out"), dt.datetime(2024, 1, 5, 12)
+    run_hourly_load(spark, raw_path, out, (HOURS[0], noon))
+    run_hourly_load(spark, raw_path, out, HOURS)
+    ids = [r.event_id for r in read_staging(spark, f"{out}/staging").select("event_id").collect()]
+    whole = run_hourly_load(spark, raw_path, str(tmp_path / "once"), HOURS)
+    assert len(ids) == len(set(ids)) == read_staging(spark, str(tmp_path / "once/staging")).count()
+    assert same(read_marts(spark, f"{out}/mart")["mart_zone_daily"], whole["mart_zone_daily"])
+
+
+def test_a_bad_timestamp_and_a_copy_do_not_stop_a_load(spark, raw_path, tmp_path):
+    folder = tmp_path / "raw/year=2024/month=01/day=05/hour=03"
+    folder.mkdir(parents=True, exist_ok=True)
+    event = ('{"event_id":"x1","meter_id":"MTR-0001","zone_id":"ZONE-SOUTH","customer_type":"residential",'
+             '"timestamp":"%s","kwh_delta":1.0,"power_kw":1.0,"voltage":120.0,"power_factor":0.9,'
+             '"frequency_hz":60.0,"meter_state":"normal"}\n')
+    good = event % "2024-01-05T03:00:01Z"
+    (folder / "more.txt").write_text(good + good + event % "not-a-time" + event % "never")
+    out = str(tmp_path / "out")
+    run_hourly_load(spark, raw_path, out, HOURS, staging_schema="typed", mart_schema="gold")
+    assert read_staging(spark, f"{out}/typed").filter("event_id = 'x1'").count() == 1
+    assert [r.reason for r in read_rejected(spark, f"{out}/typed").collect()] == ["bad_timestamp"] * 2
+    assert set(read_marts(spark, f"{out}/gold")) == set(MARTS)
+
+
+# --- the live path -----------------------------------------------------------
+
+def live_messages(spark, sf, path, low, high):
+    part = readings(spark, sf).filter(F.col("arrival_seq").between(low, high))
+    bad_json(part).coalesce(1).select("value").write.mode("append").text(path)
+
+
+def test_live_path_over_batches_and_a_restart(spark, sf, tmp_path):
+    topic, out, mark = (str(tmp_path / n) for n in ("topic", "out", "mark"))
+    seen = []
+    for low, high in ((0, 299), (300, 599), (600, 10_000)):
+        live_messages(spark, sf, topic, low, high)
+        run_live(read_stream(spark, "files", path=topic), out, mark,
+                 deliver=lambda rows, i: seen.append((i, rows.count()))).awaitTermination()
+    r = readings(spark, sf).filter("k > 3")
+    want = anomaly.ema_anomaly(r, order=ORDER)
+    flags = spark.read.parquet(f"{out}/flags").select("event_id", "is_anomaly_ema")
+    assert same(flags, want.select("event_id", "is_anomaly_ema"))
+    counted = windows.zone_window_agg(want, anomaly="is_anomaly_ema")
+    assert same(read_windows(spark, f"{out}/parts", with_anomalies=True), counted)
+    assert spark.read.parquet(f"{out}/dead").count() == readings(spark, sf).filter("k <= 3").count()
+    assert [i for i, _ in seen] == [0, 1, 2] and all(n > 0 for _, n in seen)
+
+
+def test_a_batch_that_runs_again_counts_once(spark, sf, tmp_path):
+    """As after a lost driver: the same messages come again as the same batch."""
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    live_messages(spark, sf, topic, 0, 10_000)
+    for mark in ("first", "second"):
+        run_live(read_stream(spark, "files", path=topic), out, str(tmp_path / mark)).awaitTermination()
+    want = readings(spark, sf).filter("k > 3")
+    assert same(read_windows(spark, f"{out}/parts"), windows.zone_window_agg(want))
 
 
 def test_failed_checks_leave_the_marts_alone(spark, sf, tmp_path):
