@@ -499,7 +499,8 @@ def faults_by_zone(spark, sf):
 
 @query
 def latest_window_ranked(spark, sf):
-    return dashboards.latest_window_ranked(windows.zone_window_agg(readings(spark, sf)))
+    recent = readings(spark, sf, since=src.newest_window(spark, sf))
+    return dashboards.latest_window_ranked(windows.zone_window_agg(recent))
 
 
 @query
@@ -510,7 +511,17 @@ def last_six_windows(spark, sf):
 
 @query
 def live_kpis(spark, sf):
-    return dashboards.live_kpis(_full(spark, sf))
+    """The cards of the newest window: its readings, and the baselines that earlier loads left of its hour."""
+    since = src.newest_window(spark, sf)
+    cols = ["arrival_seq", "meter_id", "zone_id", "reading_ts", "kwh_delta"]
+    same_hour = F.hour("reading_ts") == F.hour(F.lit(since).cast("timestamp_ntz"))
+    earlier = readings(spark, sf, until=since).select(*cols).filter(same_hour)
+    kept = materialise(anomaly.ema_baselines(anomaly.ema_anomaly(earlier, order=ORDER), ORDER), "baselines")
+    recent = readings(spark, sf, since=since)
+    flagged = anomaly.ema_anomaly(recent.select(*cols), carry_in=kept, order=ORDER)
+    agg = windows.zone_window_agg(recent, expected=windows.expected_meters(readings(spark, sf)))
+    joined = agg.join(windows.anomaly_counts(flagged), ["zone_id", "window_start_ts"], "left")
+    return dashboards.live_kpis(joined.withColumn("anomaly_count", F.coalesce("anomaly_count", F.lit(0))))
 
 
 @query

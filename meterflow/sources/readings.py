@@ -1,13 +1,15 @@
 """Meter readings made of the `events` table, and variants of them for checks."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.functions.meters import by_value, event_type_of, interval_seconds
 from meterflow.functions.numbers import kwh_units
-from meterflow.functions.times import hour_start, iso_text, seconds_interval, whole_second
+from meterflow.functions.times import floor_window, hour_start, iso_text, seconds_interval, whole_second
 from meterflow.operators.ordered import running_by_slot
-from meterflow.schema import NOMINAL_VOLTS, READING_SCHEMA, ZONES
+from meterflow.schema import NOMINAL_VOLTS, READING_SCHEMA, WINDOW_SECONDS, ZONES
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, "
@@ -17,9 +19,25 @@ EVENTS_SCHEMA = (
 ORDER = ("reading_ts", "arrival_seq")
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event, typed as a meter reading (without the odometer)."""
-    return from_events(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet"))
+def readings(
+    spark: SparkSession, sf_dir: str, since: datetime | None = None, until: datetime | None = None,
+) -> DataFrame:
+    """One row per event, typed as a meter reading (without the odometer).
+
+    The bounds, whole seconds from `since` up to but not including `until`, reach the scan.
+    """
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    if since is not None:
+        events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        events = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+    return from_events(events)
+
+
+def newest_window(spark: SparkSession, sf_dir: str, seconds: int = WINDOW_SECONDS) -> datetime | None:
+    """The start of the window of the newest reading; reads the time column alone."""
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return events.agg(floor_window(F.max("ts"), seconds)).first()[0]
 
 
 def from_events(events: DataFrame) -> DataFrame:
