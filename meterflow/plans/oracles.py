@@ -281,6 +281,10 @@ ORACLES = {
         kwh_delta, voltage, current_amps, power_factor,
         round(voltage * current_amps * power_factor / 1000 + 1e-9, 3), frequency_hz, meter_state,
         is_anomaly, NULL, event_type FROM readings"""),
+    "legacy_load": ask(READINGS, f"""
+      SELECT sha256(meter_id || '|' || {ISO}) AS event_id, meter_id, zone_id, customer_type, kwh_delta,
+        round(voltage * current_amps * power_factor / 1000 + 1e-9, 3) AS power_kw, frequency_hz, {HOUR_PARTS}
+      FROM readings"""),
     "route_alerts": ask(READINGS, f"""
       SELECT event_id, 'meter.readings' AS topic, {PARTITION_NO} AS "partition" FROM readings
       UNION ALL
@@ -314,6 +318,13 @@ ORACLES = {
       SELECT arrival_seq, CASE k WHEN 0 THEN 'bad_json' WHEN 1 THEN 'missing_keys'
         WHEN 2 THEN 'null_required' ELSE 'bad_timestamp' END AS reason
       FROM readings WHERE k BETWEEN 0 AND 3"""),
+    "filled_defaults": ask(READINGS, """
+      SELECT event_id, CASE WHEN k = 0 THEN 0.0 ELSE kwh_delta END AS kwh_delta,
+        CASE WHEN k = 0 THEN 0.0 ELSE power_kw END AS power_kw,
+        CASE WHEN k = 1 THEN 0.0 ELSE power_factor END AS power_factor,
+        CASE WHEN k = 1 THEN 0.0 ELSE voltage END AS voltage,
+        CASE WHEN k = 2 THEN 60.0 ELSE frequency_hz END AS frequency_hz,
+        CASE WHEN k = 2 THEN 'normal' ELSE meter_state END AS meter_state FROM readings"""),
     "dedup_events": ask(READINGS, """
       SELECT DISTINCT event_id, meter_id, reading_ts, kwh_delta FROM
         (SELECT * FROM readings UNION ALL SELECT * FROM readings WHERE k % 25 = 0)"""),
@@ -362,6 +373,7 @@ ORACLES = {
         CAST(sum(failed_rows) AS BIGINT) AS failed_rows,
         {n('failed_rows > 0')} = 0 AS marts_built FROM report"""),
     "zone_window_agg": ZONE_WINDOWS,
+    "window_upsert": ZONE_WINDOWS,
     "zone_window_agg_6h": ask(window_ctes(360), f"SELECT {WINDOW_COLS} FROM win"),
     "zone_window_full": ask(FULL, "SELECT * FROM win"),
     "zone_window_delta": ZONE_DELTA,

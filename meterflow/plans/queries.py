@@ -15,7 +15,7 @@ from meterflow.sources.readings import ORDER, readings
 from meterflow.storage import materialise, scratch_path
 from meterflow.streaming import anomaly as stream_anomaly
 from meterflow.streaming.live import run_live
-from meterflow.streaming.sinks import start_log
+from meterflow.streaming.sinks import read_latest, start_log
 from meterflow.streaming.sources import parse_messages, read_stream, replay_readings
 from meterflow.streaming.windows import closed_windows as stream_closed_windows
 from meterflow.streaming.windows import read_window_deltas, read_windows, start_window_log
@@ -113,6 +113,18 @@ def legacy_normalise(spark, sf):
         "signal_strength_dbm", "event_type")
 
 
+@query
+def legacy_load(spark, sf):
+    """Legacy JSON Lines, mapped and written to the hour folders of the archive."""
+    old, out = scratch_path(spark, "legacy"), scratch_path(spark, "legacy-archive")
+    legacy.as_legacy(readings(spark, sf)).write.json(old)
+    mapped = legacy.normalise_legacy(legacy.load_legacy(spark, old))
+    archive.write_archive(mapped, out, fmt="parquet")
+    return spark.read.parquet(out).select(
+        "event_id", "meter_id", "zone_id", "customer_type", "kwh_delta", "power_kw", "frequency_hz",
+        "year", "month", "day", "hour")
+
+
 @query
 def route_alerts(spark, sf):
     return routing.route_alerts(readings(spark, sf)).select("event_id", "topic", "partition")
@@ -166,6 +178,14 @@ def quarantine(spark, sf):
     return raw.quarantine(bad).select("arrival_seq", "reason")
 
 
+@query
+def filled_defaults(spark, sf):
+    """Readings that lack measures where k is below 3, with the defaults in their place."""
+    names = ["kwh_delta", "power_kw", "power_factor", "voltage", "frequency_hz", "meter_state"]
+    gaps = {c: F.when(F.col("k") != i // 2, F.col(c)) for i, c in enumerate(names)}
+    return raw.fill_defaults(readings(spark, sf).withColumns(gaps)).select("event_id", *names)
+
+
 @query
 def dedup_events(spark, sf):
     twice = src.duplicated(readings(spark, sf))
@@ -285,6 +305,17 @@ def zone_window_agg(spark, sf):
     return _windows(spark, sf)
 
 
+@query
+def window_upsert(spark, sf):
+    """What is left when the windows of the first readings are written over by those of all."""
+    r, log = readings(spark, sf), scratch_path(spark, "upserts")
+    expected = windows.expected_meters(r)
+    for i, part in enumerate([r.filter(F.col("arrival_seq") % 2 == 0), r]):
+        windows.zone_window_agg(part, expected=expected).write.parquet(f"{log}/batch_id={i}")
+    schema = spark.read.parquet(f"{log}/batch_id=1").schema
+    return read_latest(spark, log, schema, ["zone_id", "window_start_ts"])
+
+
 @query
 def zone_window_agg_6h(spark, sf):
     return _windows(spark, sf, 21600)
