@@ -3,7 +3,7 @@
 import pytest
 
 import corpus_pipeline
-from cases import LONG, documents
+from cases import LONG
 from check_oracles import compare
 from meterflow.llm import mixing, toxicity
 from meterflow.llm.oracles import ORACLES
@@ -26,9 +26,8 @@ def expected(spark, docs, sf):
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     rest = {r.doc_id: r for r in toxicity.score(docs, model).collect() if r.score < toxicity.THRESHOLD}
     text = {i: t for i, _, _, t in lines([(i, r.text) for i, r in rest.items()])}
-    text = {i: t for i, t in text.items()}
     kept = {i for i, _, c in joined(list(text.items())) if i == c}
-    items = documents(spark, sf, "item_id", "text")
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     order = sorted(kept)
     clean = [i for i, (n, h, _) in zip(order, hits([text[i] for i in order], items, 13)) if not (h and 20 * h >= n)]
     domains = {f"src{n}": name for name, numbers in mixing.DOMAINS.items() for n in numbers}
