@@ -2,13 +2,13 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.meters import interval_seconds
 from meterflow.functions.numbers import percent, round_half_up, sum_kwh
 from meterflow.functions.times import day_start, hour_start, second_of_day, seconds_between
-from meterflow.operators.ordered import running_by_slot, with_halo, without_halo
+from meterflow.operators.ordered import with_halo, without_halo
 from meterflow.schema import LEGAL_TRANSITIONS, PEAK_HOURS, SCENARIOS
 
 ORDER = ("reading_ts", "event_id")
@@ -107,21 +107,40 @@ def state_transitions(df: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
 
 
 def fault_episodes(df: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
-    """Stretches of consecutive readings of a meter outside the normal state."""
-    slot = hour_start(F.col("reading_ts"))
-    rows, w = with_halo(df, ["meter_id"], order, slot, ["meter_state"], 1)
-    before = F.lag("meter_state").over(w)
-    changed = F.coalesce(F.col("meter_state") != before, F.lit(True)).cast("int")
-    marked = without_halo(rows.withColumn("_changed", changed))
-    numbered = running_by_slot(marked, ["meter_id"], order, slot, "_changed", "_episode")
-    return (
-        numbered.filter(F.col("meter_state") != "normal")
-        .groupBy("meter_id", "_episode", "meter_state")
+    """Stretches of consecutive readings of a meter outside the normal state.
+
+    Readings are put in order within an hour of a meter. Only the first and the
+    last stretch of an hour can go on in another one; those alone are put in
+    order over the whole meter.
+    """
+    in_hour = Window.partitionBy("meter_id", "_hour").orderBy(*order)
+    changed = F.coalesce(F.col("meter_state") != F.lag("meter_state").over(in_hour), F.lit(True))
+    numbered = (
+        df.select("meter_id", *order, "meter_state", hour_start(F.col("reading_ts")).alias("_hour"))
+        .withColumn("_changed", changed.cast("int"))
+        .withColumn("_run", F.sum("_changed").over(in_hour.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    measures = [F.min("started").alias("started"), F.max("ended").alias("ended"),
+                F.sum("reading_count").alias("reading_count")]
+    runs = (
+        numbered.groupBy("meter_id", "_hour", "_run", "meter_state")
         .agg(F.min("reading_ts").alias("started"), F.max("reading_ts").alias("ended"),
              F.count("*").alias("reading_count"))
-        .select("meter_id", "meter_state", "started", "ended", "reading_count",
-                seconds_between(F.col("started"), F.col("ended")).alias("seconds"))
+        .withColumn("_runs", F.max("_run").over(Window.partitionBy("meter_id", "_hour")))
+    )
+    at_edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
+    by_meter = Window.partitionBy("meter_id").orderBy("_hour", "_run")
+    goes_on = (F.col("meter_state") == F.lag("meter_state").over(by_meter)) & (
+        F.col("_hour") > F.lag("_hour").over(by_meter))
+    edges = (
+        runs.filter(at_edge)
+        .withColumn("_starts", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
+        .withColumn("_episode", F.sum("_starts").over(by_meter.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("meter_id", "_episode", "meter_state").agg(*measures).drop("_episode")
     )
+    whole = runs.filter(~at_edge).select(*edges.columns)
+    return whole.unionByName(edges).filter(F.col("meter_state") != "normal").withColumn(
+        "seconds", seconds_between(F.col("started"), F.col("ended")))
 
 
 def active_scenarios(calendar: Sequence[Mapping] = SCENARIOS) -> Column:
