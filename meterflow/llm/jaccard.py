@@ -339,7 +339,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     roots = components(links)
     named = sets.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "digest").alias("root"))
-    least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = materialise(named, "named")
+    least = materialise(  # so that the join below can split a very large component
+        named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     return (named.join(least, "root", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))

@@ -157,6 +157,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
               .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
                    F.max(F.col("doc_id").isNull()).alias("nameless"))
               .where("first < last OR (nameless AND first IS NOT NULL)").select("key", "first"))
+    firsts = materialise(firsts, "line-firsts")  # so that the join below can split a very common line
     drops = (suspected.join(firsts, "key").where(~F.col("doc_id").eqNullSafe(F.col("first")))
              .groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
              .select(F.col("doc_id").alias("__drop_id"), F.col("keys").alias("__drop_keys")))
