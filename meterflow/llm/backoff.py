@@ -175,15 +175,15 @@ def _score(strength: float):
         answers = answers.sort_by("shard")
         total, _ = _numbers(answers.column("total"), np.uint32)
         words, pairs = total[:len(t.words)].astype(np.int64), total[len(t.words):].astype(np.int64)
-        stats = {name: docs.column(f"__{name}")[0].as_py() for name in _STATS}
+        stats = {name: answers.column(f"all_{name}")[0].as_py() for name in _STATS}
         seen = np.add.reduceat((words > 0)[t.word], t.starts)
         base = np.log10((words[t.word] + 1) / (stats["tokens"] + stats["words"] + 1))
         score = Automaton(t, words, pairs, stats, strength).read(t)
         new = dict(n_tokens=pa.array(t.sizes), n_known=pa.array(seen.astype(np.int64)),
                    train_tokens=pa.array(np.full(len(t.sizes), stats["tokens"])),
                    base_score=pa.array(np.add.reduceat(base, t.starts)), score=pa.array(np.add.reduceat(score, t.starts)))
-        hidden = ["__block", "__train", *(f"__{n}" for n in _STATS)]
-        return pa.Table.from_batches([with_columns(docs.combine_chunks().to_batches()[0], drop=[*hidden, *new], **new)])
+        whole = docs.combine_chunks().to_batches()[0]
+        return pa.Table.from_batches([with_columns(whole, drop=["__block", "__train", *new], **new)])
 
     return work
 
@@ -197,11 +197,12 @@ def score(docs: DataFrame, train: Column, strength: float = STRENGTH, block: int
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block))
     dealt = docs.withColumns({"__train": train, "__block": F.pmod(F.xxhash64("text", "doc_id"), F.lit(blocks))})
-    asked = dealt.select("__block", "__train", "text").groupBy("__block").applyInArrow(
+    # the same columns as below, so that the texts are shuffled once
+    asked = dealt.groupBy("__block").applyInArrow(
         _ask(blocks), "shard long, block long, key binary, rest binary, count binary")
     answers = asked.groupBy("shard").applyInArrow(
         _answer(blocks), "shard long, block long, total binary, " + ", ".join(f"{n} long" for n in _STATS))
-    stats = answers.agg(*[F.sum(n).alias(f"__{n}") for n in _STATS])
+    stats = answers.agg(*[F.sum(n).alias(f"all_{n}") for n in _STATS])
+    answers = answers.select("shard", "block", "total").crossJoin(F.broadcast(stats))  # one row of figures
     schema = schema_with(docs, n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double")
-    return (dealt.crossJoin(F.broadcast(stats)).groupBy("__block")  # one row of figures
-            .cogroup(answers.select("shard", "block", "total").groupBy("block")).applyInArrow(_score(strength), schema))
+    return dealt.groupBy("__block").cogroup(answers.groupBy("block")).applyInArrow(_score(strength), schema)
