@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterflow.functions import times
 from meterflow.functions.meters import zone_partition
 from meterflow.functions.numbers import round_half_up, sum_kwh
-from meterflow.operators import analysis, quality, routing, windows
+from meterflow.operators import analysis, dashboards, quality, routing, windows
 from meterflow.operators.staging import staging, staging_from_readings, staging_from_text
 from meterflow.sources import legacy, raw
 from meterflow.sources.readings import as_json, readings, with_odometer
@@ -250,3 +250,57 @@ def test_totals_agree(spark, sf):
     for df in (windows.zone_window_agg(r), marts.mart_demand_heatmap(stg),
                marts.mart_zone_daily(stg), marts.mart_customer_segment(stg)):
         assert df.agg(sum_kwh(F.col("total_kwh"))).first()[0] == total
+
+
+def test_grid_and_outages_have_unknown_zones_and_silent_slots(spark):
+    df = make(spark, [
+        (1, "A", "ZONE-X", "2026-07-01T02:00:00", 5.0),
+        (2, "B", "ZONE-EAST", "2026-07-01T02:05:00", 2.0),
+        (3, "B", "ZONE-EAST", "2026-07-01T02:10:00", 0.0),
+    ])
+    agg = windows.zone_window_agg(df)
+    grid = windows.fill_window_grid(agg)
+    assert grid.agg(F.sum("total_kwh")).first()[0] == 7.0
+    expected = spark.createDataFrame([("ZONE-X", 2), ("ZONE-EAST", 1)], "zone_id string, n long")
+    out = windows.zone_outages(agg, 300, expected, zones=["ZONE-X", "ZONE-EAST"])
+    assert {(r.zone_id, r.window_start_ts.minute, r.silent_meter_count) for r in out.collect()} == {
+        ("ZONE-X", 5, 2), ("ZONE-X", 10, 2), ("ZONE-EAST", 0, 1)}
+
+
+def test_completeness_lists_hours_without_readings(spark):
+    df = staging_from_readings(make(spark, [
+        (1, "A", "ZONE-EAST", "2026-07-01T01:10:00", 5.0),
+        (2, "A", "ZONE-EAST", "2026-07-01T03:10:00", 2.0),
+    ]))
+    rows = quality.hour_completeness(df, {"ZONE-EAST": 2, "ZONE-WEST": 1}).collect()
+    assert {(r.zone_id, r.reading_hour.hour, r.meters, r.complete_pct) for r in rows} == {
+        ("ZONE-EAST", 1, 1, 50.0), ("ZONE-EAST", 2, 0, 0.0), ("ZONE-EAST", 3, 1, 50.0),
+        ("ZONE-WEST", 1, 0, 0.0), ("ZONE-WEST", 2, 0, 0.0), ("ZONE-WEST", 3, 0, 0.0)}
+
+
+def test_composition_counts_meters_of_other_types(spark):
+    rows = [("Z", "A", "residential"), ("Z", "B", None), ("Z", "C", "kiosk"), ("Z", "A", "residential")]
+    stg = spark.createDataFrame(rows, "zone_id string, meter_id string, customer_type string")
+    row = dashboards.fleet_composition(stg).first()
+    assert (row.residential, row.commercial, row.industrial, row.total) == (1, 0, 0, 3)
+
+
+def test_missing_signal_is_unknown(spark):
+    stg = spark.createDataFrame([("Z", None), ("Z", -60), ("Z", -95)], "zone_id string, signal_strength_dbm int")
+    assert {r.signal_band for r in quality.signal_bands(stg).collect()} == {"unknown", "excellent", "very_poor"}
+
+
+def test_load_stamp_is_utc_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamp = raw.with_load_ts(spark.range(1)).first().load_ts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert abs(stamp - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) < dt.timedelta(minutes=5)
+
+
+def test_the_copy_loaded_first_stays(spark):
+    rows = [("a", 2, "late"), ("a", 1, "early"), ("b", 3, "only")]
+    df = spark.createDataFrame(rows, "event_id string, load_ts int, note string").repartition(3)
+    assert {r.note for r in raw.dedup(df).collect()} == {"early", "only"}
+    assert raw.dedup(df).columns == df.columns
