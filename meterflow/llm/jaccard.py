@@ -8,7 +8,11 @@
    H equal parts, the sets agree in some. H follows from a band of set sizes;
    linked sets lie in one band or in neighbouring ones, and a set gives the
    signatures of its own band and of the band below. Sets that share a signature
-   go to one group, however they are connected.
+   go to one group, however they are connected. Below SIGNED percent the parts are
+   too small to tell sets apart, and groups are what candidate pairs connect: the
+   rarest shingles of each set, in one order for all, are dealt by shingle, and two
+   sets are candidates if their sizes fit and they share as many of these as a link
+   of their sizes has to. A list of more than HOT sets makes a group as it is.
 3. In a group, T-occurrence search finds the links: a set's short inverted lists
    are merged and counted, its long ones are only probed by binary search for
    what can still reach the overlap (DivideSkip). Only what connects documents
@@ -47,6 +51,12 @@ SHORT, PROBES = 32, 64
 #: Bits of the filter that says which documents to send to the search (64 MB at most).
 BITS_PER_MEMBER, MOST_BITS = 16, 1 << 29
 _FLUSH = 1 << 19
+#: Groups come from signatures at this percentage or more, from candidate pairs below.
+SIGNED = 90
+#: Sets in a list of which all pairs are made; a longer list is linked to one of them.
+HOT = 128
+#: One text in SAMPLE is counted to find frequent shingles: SEEN times or more, at most MOST_FREQUENT of them (16 MB).
+SAMPLE, SEEN, MOST_FREQUENT = 8, 3, 1_000_000
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -175,6 +185,179 @@ def _group_links(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.withColumn("v", F.min("u").over(Window.partitionBy("key"))).where("u <> v").select("u", "v")
 
 
+def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted codes of shingles that many of a sample of the texts have, and how many.
+
+    They only settle the order of shingles, so any answer leads to the same links.
+    """
+
+    def work(batches):
+        held, n = [], 0
+
+        def flush():
+            codes, counts = np.unique(joined(held, np.uint64), return_counts=True)
+            rows = pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(counts)], names=["code", "n"])
+            return sliced(rows, 4 << 20)
+
+        for batch in batches:
+            for piece in sliced(batch, 4 << 20):
+                sets = shingle_sets(piece.column("text"), size)
+                held += sets
+                n += sum(len(s) for s in sets)
+                if n >= _FLUSH:
+                    yield from flush()
+                    held, n = [], 0
+        yield from flush()
+
+    some = docs.select("text").where(F.crc32("text") % SAMPLE == 0).mapInArrow(work, "code long, n long")
+    counted = materialise(some.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN), "frequent-shingles")
+    least, total = SEEN, 0
+    for row in counted.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect():
+        total += row["count"]
+        if total > MOST_FREQUENT:
+            least = 2 << row["power"]
+            break
+    got = counted.where(F.col("n") >= least).toArrow()
+    codes, counts = (got.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("code", "n"))
+    codes = codes.astype(np.int64).view(np.uint64)
+    order = np.argsort(codes)
+    return codes[order], counts[order]
+
+
+class Prefixes:
+    """The rarest shingles of sets, in one order: the frequent ones last, else by code.
+
+    Linked sets share shingles in their prefixes. All that they share lies in both,
+    but for what is beyond the prefix that ends first; so they share `least` there.
+    """
+
+    def __init__(self, percent: int, frequent: np.ndarray, counts: np.ndarray):
+        self.percent, self.frequent, self.counts = percent, frequent, counts
+
+    def length(self, n):
+        """One more than a link may lack, and a twentieth of the set, which unrelated sets rarely share."""
+        return np.minimum(n, n + -n * self.percent // 100 + 1 + n // 20)
+
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shingles of a set's prefix: those that aren't frequent, and those that are."""
+        length = int(self.length(len(codes)))
+        at = np.searchsorted(self.frequent, codes)
+        hit = np.zeros(len(codes), bool)
+        inside = at < len(self.frequent)
+        hit[inside] = self.frequent[at[inside]] == codes[inside]
+        rare, often = codes[~hit][:length], codes[hit]
+        return rare, often[np.argsort(self.counts[at[hit]], kind="stable")][:length - len(rare)]
+
+    def least(self, n_x, n_y):
+        """Shingles that linked sets of these sizes share in their prefixes at least."""
+        overlap = -(-self.percent * (n_x + n_y) // (100 + self.percent))
+        return overlap - np.maximum(n_x - self.length(n_x), n_y - self.length(n_y))
+
+    def pairs(self, key: np.ndarray, node: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+        """u, v and least of whole lists with their keys in a row: all pairs of which the sizes fit. In a list of more
+        than HOT sets, or with a size of 0, all are linked to one (least 0)."""
+        same = key[1:] == key[:-1]
+        near = np.zeros(len(key), bool)
+        near[1:] = same
+        near[:-1] |= same
+        key, node, n = key[near], node[near], n[near]
+        if not len(key):
+            return [np.zeros(0, np.int64)] * 3
+        order = np.lexsort((node, n, key))
+        key, node, n = key[order], node[order], n[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | (n[1:] != n[:-1])
+        key, node, n = key[new], node[new], n[new]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.append(first, len(key)))
+        star = np.repeat((sizes > HOT) | (n[first] == 0), sizes)
+        centre = np.repeat(node[first], sizes)
+        out = [(node[star], centre[star], np.zeros(star.sum(), np.int64))]
+        longest = sizes[~star[first]].max(initial=1)
+        key, node, n = key[~star], node[~star], n[~star]
+        for d in range(1, longest):
+            fits = (key[d:] == key[:-d]) & (n[:-d] * 100 >= n[d:] * self.percent)
+            a, b = np.flatnonzero(fits), np.flatnonzero(fits) + d
+            out.append((node[a], node[b], self.least(n[a], n[b])))
+        return [np.concatenate(x) for x in zip(*out)]
+
+
+def _candidate_links(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(u, v): links between classes (nodes) that share as much of their prefixes as linked sets do.
+
+    Classes that share a frequent shingle of their prefixes are linked as those that
+    share a signature are, among a task's own documents first.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size))
+
+    def deal(batches):
+        prefixes, bands, seen = Prefixes(percent, *shared.value), Bands(percent), set()
+        keys, nodes, held = [], [], 0
+
+        def rows(key, node, n):
+            out = pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node), pa.array(n)],
+                                             names=["key", "node", "n"])
+            return sliced(out, 4 << 20)
+
+        def flush():
+            key, node = _stars(joined(keys, np.uint64), joined(nodes, np.int64))
+            return rows(key, node, np.zeros(len(key), np.int32))
+
+        for batch in batches:
+            for piece in sliced(batch, 4 << 20):
+                own, names, counts = [], [], []
+                for codes in shingle_sets(piece.column("text"), size):
+                    name = digest(codes)
+                    if not len(codes) or name in seen:
+                        continue
+                    seen.add(name)
+                    rare, often = prefixes.of(codes)
+                    own.append(rare)
+                    names.append(node_of(name))
+                    counts.append((len(rare), len(codes)))
+                    if len(often):
+                        band = bands.of(len(codes))
+                        for b in (band, band - 1) if band else (band,):
+                            keys.append(mix(often + np.uint64(b + 1)))
+                            nodes.append(np.full(len(often), names[-1]))
+                            held += len(often)
+                if own:
+                    times, n = np.array(counts).T
+                    yield from rows(joined(own, np.uint64), np.repeat(np.array(names, np.int64), times),
+                                    np.repeat(n, times).astype(np.int32))
+                if held >= _FLUSH:
+                    yield from flush()
+                    keys, nodes, held = [], [], 0
+        yield from flush()
+
+    def pair(batches):
+        prefixes = Prefixes(percent, *shared.value)
+
+        def rows(lists):
+            columns = [pa.array(c) for c in prefixes.pairs(*lists)]
+            return sliced(pa.RecordBatch.from_arrays(columns, names=["u", "v", "least"]), 4 << 20)
+
+        rest = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            got = [np.concatenate([r, batch.column(c).to_numpy().astype(np.int64)]) for c, r in zip(("key", "node", "n"), rest)]
+            end = int(np.searchsorted(got[0], got[0][-1])) if len(got[0]) else 0
+            yield from rows([x[:end] for x in got])
+            rest = [x[end:] for x in got]
+            if len(rest[0]) > _FLUSH:  # one list: all are linked to its first, and some go on for it
+                most = [x.copy() for x in rest]
+                most[2][:] = 0
+                yield from rows(most)
+                kept = np.argmin(rest[1])
+                rest = [np.full(1, rest[0][0]), np.full(1, rest[1][kept]), np.zeros(1, np.int64)]
+        yield from rows(rest)
+
+    dealt = docs.select("text").mapInArrow(deal, "key long, node long, n int")
+    pairs = dealt.repartition("key").sortWithinPartitions("key").mapInArrow(pair, "u long, v long, least long")
+    ordered = pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), "least")
+    return (ordered.groupBy("u", "v").agg(F.count("*").alias("times"), F.min("least").alias("least"))
+            .where("times >= least").select("u", "v"))
+
+
 class Search:
     """T-occurrence search among the sets of a group, for what overlaps enough to link."""
 
@@ -261,14 +444,14 @@ def connect(sets: list[np.ndarray], percent: int, pivots: int) -> np.ndarray:
 
 
 def _rows_of(batches: Iterator[pa.RecordBatch], size: int) -> dict:
-    """The sets by group and digest, for rows whose text has the digest they were sent for."""
+    """The ranks and the set by group and digest, for rows whose text has the digest they were sent for."""
     out = {}
     for batch in batches:
         for piece in sliced(batch, 4 << 20):
             for s, d, g, q in zip(shingle_sets(piece.column("text"), size), piece.column("digest").to_pylist(),
                                   piece.column("grp").to_pylist(), piece.column("rank").to_pylist()):
                 if digest(s) == d:
-                    out.setdefault(g, {}).setdefault(d, (q, s))
+                    out.setdefault(g, {}).setdefault(d, (set(), s))[0].add(q)
     return out
 
 
@@ -282,7 +465,7 @@ def _links(members: DataFrame, size: int, percent: int) -> DataFrame:
     def work(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = []
         for rows in _rows_of(batches, size).values():
-            names = sorted(rows, key=lambda d: (rows[d][0], d))
+            names = sorted(rows, key=lambda d: (min(rows[d][0]), d))
             roots = connect([rows[d][1] for d in names], percent, PIVOTS)
             edges += [(names[i], names[r]) for i, r in enumerate(roots) if i != r]
         yield _edges_batch(edges)
@@ -296,8 +479,8 @@ def _links_across(members: DataFrame, size: int, percent: int) -> DataFrame:
     def work(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = []
         for rows in _rows_of(batches, size).values():
-            asked = {d: s for d, (rank, s) in rows.items() if rank < 0}
-            names = [d for d, (rank, _) in rows.items() if rank >= 0]
+            asked = {d: s for d, (ranks, s) in rows.items() if min(ranks) < 0}
+            names = [d for d, (ranks, _) in rows.items() if max(ranks) >= 0]
             search = Search([rows[d][1] for d in names], percent) if names else None
             for d, s in asked.items() if search else ():
                 edges += [(d, names[i]) for i in search.linked(s)]
@@ -309,7 +492,7 @@ def _links_across(members: DataFrame, size: int, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of `docs`: the smallest doc_id that links reach."""
     sets = materialise(_sets(docs, size), "shingle-sets")
-    near = components(_group_links(docs, size, percent))
+    near = components((_group_links if percent >= SIGNED else _candidate_links)(docs, size, percent))
     classes = sets.where("digest IS NOT NULL").groupBy("digest", "node", "n_shingles").agg(F.min("doc_id").alias("rep"))
     members = materialise(
         classes.join(near, "node").select("digest", "rep", "n_shingles", F.col("root").alias("grp")), "group-members")

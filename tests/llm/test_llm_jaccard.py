@@ -106,3 +106,41 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+@pytest.mark.parametrize("hot", [j.HOT, 2])
+def test_candidate_pairs_hold_all_links(hot, monkeypatch):
+    """Without Spark: linked sets share what the pairs ask for, or a frequent shingle, whatever counts as frequent."""
+    monkeypatch.setattr(j, "HOT", hot)
+    sets = j.shingle_sets(pa.array([t for _, t in near_copies(3, 300)]), 5)
+    sets = list({j.digest(s): s for s in sets if len(s)}.values())
+    codes, counts = np.unique(np.concatenate(sets), return_counts=True)
+    for often in (codes[:0], codes[counts > 4]):
+        prefixes = j.Prefixes(80, often, counts[np.searchsorted(codes, often)])
+        parts = [prefixes.of(s) for s in sets]
+        node = np.repeat(np.arange(len(sets)), [len(rare) for rare, _ in parts])
+        key = np.concatenate([rare for rare, _ in parts]).view(np.int64)
+        order = np.argsort(key)
+        n = np.array([len(s) for s in sets])
+        times, least = {}, {}
+        for u, v, need in zip(*(c.tolist() for c in prefixes.pairs(key[order], node[order], n[node[order]]))):
+            pair = max(u, v), min(u, v)
+            times[pair], least[pair] = times.get(pair, 0) + 1, min(need, least.get(pair, need))
+        forest, linked = j.Forest(len(sets)), 0
+        for pair, count in times.items():
+            if count >= least[pair]:
+                forest.join(pair[0], np.array([pair[1]]))
+        for a in range(len(sets)):
+            for b in range(a):
+                same = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * same >= 80 * (n[a] + n[b] - same):
+                    linked += 1
+                    assert forest.root(a) == forest.root(b) or set(parts[a][1].tolist()) & set(parts[b][1].tolist())
+        assert linked > 50
+
+
+@pytest.mark.parametrize("block", [j.BLOCK, 300])
+def test_near_copies_of_the_pipelines_rule(spark, block):
+    rows = near_copies(5, 200) + [(900 + i, " ".join(f"g{k}" for k in range(60) if k != i)) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert result(j.jaccard_components(docs, 80, 5, block)) == plain(rows, 80, 5)

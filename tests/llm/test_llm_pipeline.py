@@ -58,3 +58,13 @@ def test_every_stage_takes_awkward_rows(spark, sf):
 def test_a_registered_stage_list():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line_dedup", "ngram_jaccard", "decontaminate", "mixing"]
+
+
+def test_near_duplicates_link_by_five_words_and_a_similarity_of_80_percent(spark, sf):
+    """A copy with 15% of text added is a near duplicate, one with 30% added is not."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join(base + [f"x{i}" for i in range(30)]), " ".join(base + [f"y{i}" for i in range(60)])]
+    docs = spark.createDataFrame([(i, t, "en", "src1", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard"](spark, docs, sf)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2]
