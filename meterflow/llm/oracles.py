@@ -118,4 +118,29 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id""",
+    "op13_fill_middle": """
+        WITH w AS (
+            SELECT doc_id, coalesce("text", '') AS t, sha256('1:' || coalesce(cast(doc_id AS varchar), '')) AS k,
+                   coalesce(regexp_extract_all("text", '[A-Za-z]+|[^A-Za-z]'), []) AS u
+            FROM documents),
+        h AS (
+            SELECT *, len(u)::bigint AS n, ('0x' || k[1:8])::bigint AS h1, ('0x' || k[9:16])::bigint AS h2,
+                   ('0x' || k[17:24])::bigint AS h3, ('0x' || k[25:32])::bigint AS h4
+            FROM w),
+        c AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                        THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM h),
+        p AS (
+            SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+                   array_to_string(u[b + 1:n], '') AS suffix
+            FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t
+                                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p""",
 }

@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import backoff, decontaminate, jaccard, line_dedup, mixing, neighbours, quality, token_counts, toxicity, url_filter
+from meterflow.llm import (
+    backoff, decontaminate, fill_middle, jaccard, line_dedup, mixing, neighbours, quality, token_counts, toxicity, url_filter,
+)
 from meterflow.llm.labelled import fold
 
 QUERIES = {}
@@ -96,3 +98,13 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
     return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op13_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    arranged = fill_middle.fill_in_middle(docs).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "output")
+    return fill_middle.restore(arranged).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256",
+        F.sha2("restored", 256).alias("restored_sha256"))
