@@ -1,6 +1,6 @@
 """SQL for DuckDB that gives the rows of the queries SQL can express."""
 
-from meterflow.llm import mixing
+from meterflow.llm import chat, mixing
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+'"
@@ -64,6 +64,13 @@ def _mixing() -> str:
         WHERE copies > 0"""
 
 
+def _escaped(name: str) -> str:
+    out = rf"replace({name}, '\', '\\')"
+    for control in chat.CONTROL:
+        out = rf"replace({out}, '{control}', '{control[0]}\{control[1:]}')"
+    return out
+
+
 ORACLES = {
     "op1_decontaminate": f"""
         WITH d AS (SELECT doc_id, coalesce({_words(_ALNUM)}, []) AS w FROM documents),
@@ -118,6 +125,18 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id""",
+    "op12_chat_format": f"""
+        WITH r AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce("text", '') AS t FROM conversations
+            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t)) AS turns_sha256,
+               coalesce(sum(length(t)) FILTER (WHERE role = 'assistant'), 0)::bigint AS loss_chars,
+               sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, role, t) FILTER (WHERE role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum(length({_escaped("role")}) + length({_escaped("t")}) + {len(chat.TURN + chat.TEXT + chat.END)})::bigint
+                   AS formatted_chars
+        FROM r GROUP BY conv_id""",
     "op13_fill_middle": """
         WITH w AS (
             SELECT doc_id, coalesce("text", '') AS t, sha256('1:' || coalesce(cast(doc_id AS varchar), '')) AS k,
