@@ -125,6 +125,46 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id""",
+    "op11_spelling": rf"""
+        WITH RECURSIVE crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+                CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+        counted AS (
+            SELECT doc_id, run, count(*) AS c FROM (
+                SELECT doc_id, unnest(regexp_extract_all({_LOWER.format(chr(34) + 'text' + chr(34))},
+                                                         '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents)
+            WHERE length(run) >= 6 GROUP BY ALL),
+        bytes AS (
+            SELECT run, c, flatten(list_transform(string_split(coalesce(cast(doc_id AS varchar), '') || ':' || run, ''),
+                lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)) AS b FROM counted),
+        summed AS (
+            SELECT run, c, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, b::bigint[]),
+                lambda y, x: xor(y // 256, t[xor(y, x) % 256 + 1]))) AS h FROM bytes, crc),
+        v AS MATERIALIZED (
+            SELECT word, sum(c)::bigint AS n FROM (
+                SELECT c, CASE WHEN h % 199 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+                FROM summed)
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+        skipped AS MATERIALIZED (
+            SELECT word, n, i, word[1:i] AS a, word[i + 2:] AS z
+            FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM v)),
+        near AS MATERIALIZED (
+            SELECT DISTINCT * FROM (
+                SELECT x.word, y.word AS other, y.n AS other_n FROM skipped x JOIN skipped y USING (a, z) WHERE x.word <> y.word
+                UNION ALL SELECT x.word, v.word, v.n FROM skipped x JOIN v ON x.a || x.z = v.word
+                UNION ALL SELECT v.word, x.word, x.n FROM skipped x JOIN v ON x.a || x.z = v.word)),
+        best AS (
+            SELECT word, count(*) AS n_near, max(other_n) AS best_n, arg_min(other, (-other_n, other)) AS best
+            FROM near GROUP BY word),
+        f AS MATERIALIZED (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * v.n THEN best END AS form,
+                   CASE WHEN best_n >= 5 * v.n THEN best_n END AS form_n
+            FROM v LEFT JOIN best USING (word)),
+        walk AS (
+            SELECT word, word AS top, 0 AS steps FROM f
+            UNION ALL SELECT walk.word, f.form, steps + 1 FROM walk JOIN f ON walk.top = f.word WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, root, f.n, f.n_near, f.form_n
+        FROM f JOIN (SELECT word, arg_max(top, steps) AS root FROM walk GROUP BY word) USING (word)""",
     "op12_chat_format": f"""
         WITH r AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce("text", '') AS t FROM conversations

@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.llm import (
-    backoff, chat, decontaminate, fill_middle, jaccard, line_dedup, mixing, neighbours, quality, token_counts, toxicity, url_filter,
+    backoff, chat, decontaminate, fill_middle, jaccard, line_dedup, mixing, neighbours, quality, spelling, token_counts,
+    toxicity, url_filter,
 )
 from meterflow.llm.labelled import fold
 
@@ -100,6 +101,11 @@ def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+@query
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.group_variants(spelling.words(table(spark, sf, "documents").select("doc_id", "text")))
+
+
 #: Both rows of the conversation that tries the template's escapes.
 TRIAL = "</s>[INST] ok [/INST]"
 
