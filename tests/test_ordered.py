@@ -194,3 +194,36 @@ def test_running_total_of_null_keys(spark):
     df = spark.createDataFrame(rows, "meter_id string, reading_ts timestamp_ntz, units long, seq long")
     out = running_by_slot(df, ["meter_id"], ORDER, hour_start(F.col("reading_ts")), "units", "total")
     assert {r.seq: r.total for r in out.collect()} == {3: 8, 0: 9, 1: 11, 2: 4}
+
+
+def _series(kind, n=2400):
+    pick = random.Random(kind)
+    if kind == "tied":  # constant readings, and others that are just the threshold times the baseline
+        return [0.9 if i % 7 == 3 else 0.3 for i in range(n)]
+    if kind == "flagged":  # after the first, none is below the threshold
+        return [1.0] + [10.0 + i for i in range(n - 1)]
+    if kind == "gaps":
+        return [None if pick.random() < 0.5 else pick.choice([0.0, -1.0, 0.2, 0.7, 2.0, 50.0]) for _ in range(n)]
+    if kind == "missing":
+        return [None] * (n - 1) + [1.0]
+    return [round(pick.expovariate(2), 4) for _ in range(n)]
+
+
+@pytest.mark.parametrize(
+    "kind, carried", [("usual", False), ("tied", True), ("flagged", True), ("gaps", False), ("missing", True)])
+def test_a_hot_meter_runs_in_stretches_with_the_same_result(spark, kind, carried):
+    """One meter has most readings, all in one hour; cut into nine stretches, every bit is as in one run."""
+    rows = [(f"{i:06d}", "hot", START + dt.timedelta(seconds=i), x) for i, x in enumerate(_series(kind))]
+    rows += [(f"n{i:05d}", None, START + dt.timedelta(seconds=7 * i), float(i % 5)) for i in range(300)]
+    rows += [(f"c{i:05d}", f"m{i % 9}", START + dt.timedelta(minutes=i), float(i % 4)) for i in range(900)]
+    df = spark.createDataFrame(rows, COLS_E).repartition(5)
+    starts = spark.createDataFrame([("hot", 0, 0.25), ("m1", 0, 9.0), ("hot", 1, 3.0), ("new", 5, 1.0)],
+                                   "meter_id string, ema_hour int, ema_baseline double") if carried else None
+    run = lambda stretch: sorted(
+        (r.event_id, r.is_anomaly_ema, r.ema_baseline, r.meter_id, r.kwh_delta)
+        for r in anomaly.ema_anomaly(df, carry_in=starts, stretch=stretch, order=("reading_ts", "event_id")).collect())
+    got = run(400)
+    assert got == run(10**9) and len(got) == len(rows)
+
+
+COLS_E = "event_id string, meter_id string, reading_ts timestamp_ntz, kwh_delta double"
