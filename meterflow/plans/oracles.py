@@ -564,6 +564,23 @@ ORACLES = {
     "stream_zone_windows": ZONE_WINDOWS,
     "stream_zone_delta": ZONE_DELTA,
     "stream_ema_anomaly": EMA_FLAGS,
+    "stream_ema_seeded": EMA_FLAGS,
+    "stream_silence_alarms": ask(READINGS + f""", gaps AS (
+      SELECT *, lead(reading_ts) {BY_METER} AS next_ts, lead(interval_s) {BY_METER} AS next_s FROM readings)""", """
+      SELECT meter_id, zone_id, reading_ts AS silent_from FROM gaps
+      WHERE date_diff('second', reading_ts, coalesce(next_ts, (SELECT max(reading_ts) FROM readings)))
+        > 3 * coalesce(next_s, interval_s)"""),
+    "live_redelivered": ask(
+        FULL.replace("AS current_amps FROM measured", "AS current_amps FROM measured WHERE k > 3"),
+        "SELECT * EXCLUDE (silent_meter_count) FROM win"),
+    "live_accounts": ask(READINGS, """
+      SELECT CASE WHEN k > 3 THEN zone_id END AS zone_id, 2 * count(*) AS messages, 2 * count(*) FILTER (k <= 3) AS dead,
+        count(*) FILTER (k > 3) AS copies, count(*) FILTER (k > 3) AS accepted, 0 AS late FROM readings GROUP BY 1"""),
+    "live_closed": ask(WIN + f""", ends AS (SELECT zone_id, max(reading_ts) AS clock FROM readings GROUP BY 1),
+      lagged AS (SELECT *, {PREV} FROM win JOIN ends USING (zone_id))""", f"""
+      SELECT zone_id, window_start_ts, total_kwh, active_meter_count,
+        CASE WHEN prev > 0 THEN {DELTA} END AS demand_vs_prev_window_pct, 0 AS late
+      FROM lagged WHERE window_start_ts + INTERVAL 5 MINUTE <= clock"""),
     "live_pipeline": ask(
         FULL.replace("AS current_amps FROM measured", "AS current_amps FROM measured WHERE k > 3"), "SELECT * FROM win"),
     "stream_dead_letters": ask(READINGS, """

@@ -15,6 +15,7 @@ from meterflow.sources.readings import ORDER, readings
 from meterflow.storage import materialise, scratch_path
 from meterflow.streaming import anomaly as stream_anomaly
 from meterflow.streaming.live import run_live
+from meterflow.streaming.silence import start_silence_alarms
 from meterflow.streaming.sinks import read_latest, start_log
 from meterflow.streaming.sources import parse_messages, read_stream, replay_readings
 from meterflow.streaming.windows import closed_windows as stream_closed_windows
@@ -630,8 +631,8 @@ def _window_log(spark: SparkSession, sf: str) -> str:
 
 def _flag_log(spark: SparkSession, sf: str) -> str:
     out = scratch_path(spark, "flags")
-    flags = stream_anomaly.stream_ema_anomaly(replay_readings(spark, sf))
-    start_log(flags, out, scratch_path(spark, "offsets")).awaitTermination()
+    stream = replay_readings(spark, sf)
+    stream_anomaly.start_ema_anomaly(stream, out, scratch_path(spark, "offsets")).awaitTermination()
     return out
 
 
@@ -653,11 +654,36 @@ def stream_ema_anomaly(spark, sf):
         "event_id", "meter_id", "reading_ts", "is_anomaly_ema")
 
 
-def _live(spark: SparkSession, sf: str, values: DataFrame) -> str:
-    """Run the live path over JSON messages and return its folder."""
+@query
+def stream_ema_seeded(spark, sf):
+    """As `ema_carried`, the second load being a stream that begins in the baselines of the first."""
+    r = readings(spark, sf)
+    early = F.col("reading_ts") < F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz")
+    first = materialise(anomaly.ema_anomaly(r.filter(early), order=ORDER), "first-load")
+    path, out = scratch_path(spark, "second-load"), scratch_path(spark, "flags")
+    r.filter(~early).write.parquet(path)
+    stream_anomaly.start_ema_anomaly(
+        spark.readStream.schema(r.schema).parquet(path), out, scratch_path(spark, "offsets"),
+        seed=anomaly.ema_baselines(first, ORDER)).awaitTermination()
+    cols = ["event_id", "meter_id", "reading_ts", "is_anomaly_ema"]
+    return first.select(*cols).unionByName(spark.read.parquet(out).select(*cols))
+
+
+@query
+def stream_silence_alarms(spark, sf):
+    """Pauses told while they last: those that ended, and of meters still silent the one that is their last."""
+    out = scratch_path(spark, "alarms")
+    start_silence_alarms(replay_readings(spark, sf), out, scratch_path(spark, "offsets")).awaitTermination()
+    return spark.read.parquet(out).select("meter_id", "zone_id", "silent_from")
+
+
+def _live(spark: SparkSession, sf: str, *slices: DataFrame) -> str:
+    """Run the live path over JSON messages, a micro-batch for each slice, and return its folder."""
     topic, out = scratch_path(spark, "topic"), scratch_path(spark, "live")
-    values.write.text(topic)
-    run_live(read_stream(spark, "files", path=topic), out, scratch_path(spark, "offsets")).awaitTermination()
+    for i, values in enumerate(slices):
+        values.write.text(f"{topic}/{i}")
+        stream = read_stream(spark, "files", path=f"{topic}/*")
+        run_live(stream, out, f"{out}-offsets").awaitTermination()
     return out
 
 
@@ -684,6 +710,39 @@ def stream_dead_letters(spark, sf):
     return spark.read.parquet(f"{out}/dead").groupBy("reason").agg(F.count("*").alias("messages"))
 
 
+@query
+def live_redelivered(spark, sf):
+    """Every message twice, the second time in a later micro-batch too: the windows are those of one."""
+    values = src.bad_json(readings(spark, sf)).select("value", "k")
+    twice = values.unionByName(values.filter("k % 2 = 0")).select("value")
+    out = _live(spark, sf, twice, values.select("value"))
+    return read_window_deltas(spark, f"{out}/parts", with_anomalies=True)
+
+
+@query
+def live_accounts(spark, sf):
+    """Messages that came twice, of each zone: all are dead, copies or accepted, and none is late."""
+    values = src.bad_json(readings(spark, sf)).select("value")
+    out = _live(spark, sf, values, values)
+    counts = ["messages", "dead", "copies", "accepted", "late"]
+    return spark.read.parquet(f"{out}/accounts").groupBy("zone_id").agg(*[F.sum(c).alias(c) for c in counts])
+
+
+@query
+def live_closed(spark, sf):
+    """Closed windows of a stream in which one zone is an hour behind the others: it loses nothing."""
+    r = readings(spark, sf)
+    lo, hi = r.agg(F.min("reading_ts"), F.max("reading_ts")).first()
+    behind = F.when(F.col("zone_id") == "ZONE-SOUTH", F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOUR"))
+    seen = F.col("reading_ts") + behind
+    ends = [F.lit(lo + (hi - lo) * i / 3).cast("timestamp_ntz") for i in (1, 2)]
+    slice_no = F.when(seen < ends[0], 0).when(seen < ends[1], 1).otherwise(2)
+    out = _live(spark, sf, *[src.as_json(r.filter(slice_no == i).withColumn("kwh_reading", F.lit(0.0))) for i in range(3)])
+    late = spark.read.parquet(f"{out}/accounts").agg(F.sum("late").alias("late"))
+    return spark.read.parquet(f"{out}/closed").crossJoin(late).select(  # one row of counts
+        "zone_id", "window_start_ts", "total_kwh", "active_meter_count", "demand_vs_prev_window_pct", "late")
+
+
 @query
 def closed_windows(spark, sf):
     out = scratch_path(spark, "closed")

@@ -1,44 +1,63 @@
-"""The hourly moving average over a stream, with the baseline of a meter and hour as state."""
+"""The hourly moving average over a stream, from baselines that are known when it starts."""
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
-from meterflow.operators.anomaly import ema_run
+from meterflow.operators.anomaly import KEY, ema_anomaly, ema_baselines
 from meterflow.schema import EMA_ALPHA, EMA_THRESHOLD
+from meterflow.streaming.state import Kept
 
 READING = (
     "event_id string, meter_id string, zone_id string, reading_ts timestamp_ntz, "
     "kwh_delta double, voltage double, power_kw double, power_factor double, "
-    "frequency_hz double, meter_state string"
+    "frequency_hz double, meter_state string, arrival_seq long"
 )
 FLAGGED = f"{READING}, is_anomaly_ema boolean, ema_baseline double"
 COLUMNS = [field.split()[0] for field in READING.split(", ")]
+ORDER = ("reading_ts", "arrival_seq")
+
+
+def baselines(path: str) -> Kept:
+    """The baselines of meters and hours between the micro-batches of a stream."""
+    return Kept(path, "meter_id string, ema_hour int, ema_baseline double", KEY)
 
 
-def stream_ema_anomaly(
-    stream: DataFrame, alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD,
-    seq: str = "arrival_seq",
+def flag_batch(
+    batch: DataFrame, kept: Kept, batch_id: int, alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD,
 ) -> DataFrame:
-    """Flag each reading of a stream; the readings of a micro-batch run in time order.
+    """The readings of a micro-batch with their flags, run in time order from the baselines kept."""
+    spark = batch.sparkSession
+    touched = batch.select("meter_id", F.hour("reading_ts").alias("ema_hour")).distinct()
+    known = kept.before(spark, batch_id).join(touched, KEY, "left_semi")
+    return ema_anomaly(batch.select(*COLUMNS), alpha, threshold, known, ORDER)
+
+
+def keep_baselines(flagged: DataFrame, kept: Kept, batch_id: int) -> None:
+    """Keep what the average of each meter and hour of a flagged batch ended in."""
+    kept.put(ema_baselines(flagged.filter(F.col("ema_baseline").isNotNull()), ORDER), batch_id)
 
-    A group holds the new readings of one meter and hour of day in one
-    micro-batch, which the limits of the source keep small. Its state is one number.
+
+def start_ema_anomaly(
+    stream: DataFrame, path: str, checkpoint: str, seed: DataFrame | None = None,
+    alpha: float = EMA_ALPHA, threshold: float = EMA_THRESHOLD, **trigger,
+) -> StreamingQuery:
+    """Log each reading of a stream with its flag, a folder for each micro-batch.
+
+    `seed` holds the baselines with which a new stream begins, as `ema_baselines` of
+    earlier loads gives them. Readings of a micro-batch run in time order; a reading
+    without energy passes unflagged. Spark sorts the readings and a meter that has a
+    large share of them runs in stretches, so no group is held in memory.
     """
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(["reading_ts", "seq"])
-        start = state.get[0] if state.exists else None
-        flags, after = ema_run(rows["kwh_delta"].tolist(), start, alpha, threshold)
-        state.update((after[-1],))
-        yield rows[COLUMNS].assign(is_anomaly_ema=flags, ema_baseline=after)
-
-    fed = stream.select(
-        *COLUMNS, F.col(seq).alias("seq"), F.hour("reading_ts").alias("ema_hour"))
+    kept = baselines(f"{path}-baselines")
+    kept.seed(stream.sparkSession, seed)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{path}/batch_id={batch_id}"
+        flag_batch(batch, kept, batch_id, alpha, threshold).write.mode("overwrite").parquet(folder)
+        keep_baselines(batch.sparkSession.read.schema(FLAGGED).parquet(folder), kept, batch_id)
+
     return (
-        fed.filter(F.col("kwh_delta").isNotNull()).groupBy("meter_id", "ema_hour")
-        .applyInPandasWithState(
-            run, FLAGGED, "baseline double", "append", GroupStateTimeout.NoTimeout)
+        stream.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
     )

@@ -76,13 +76,22 @@ def read_windows(
     log = spark.read.schema(PART_SCHEMA).parquet(path)
     if since is not None:
         log = log.filter(F.col("window_start_ts") >= since)
-    meters = log.groupBy(*PART_KEYS).agg(
-        *[F.sum(c).alias(c) for c in SUMS], F.max("kw_max").alias("kw_max"))
-    windows = meters.groupBy("zone_id", "window_start_ts").agg(*_measures(with_anomalies))
-    ended = _ended(windows, seconds)
+    ended = windows_of_parts(log, seconds, with_anomalies)
     return ended if expected is None else in_window_order(with_silent(ended, expected))
 
 
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """One row per zone, window and meter."""
+    return parts.groupBy(*PART_KEYS).agg(
+        *[F.sum(c).alias(c) for c in SUMS], F.max("kw_max").alias("kw_max"))
+
+
+def windows_of_parts(parts: DataFrame, seconds: int = WINDOW_SECONDS, with_anomalies: bool = False) -> DataFrame:
+    """The measures of each zone and window."""
+    measured = _measures(with_anomalies)
+    return _ended(merged_parts(parts).groupBy("zone_id", "window_start_ts").agg(*measured), seconds)
+
+
 def read_window_deltas(
     spark: SparkSession, path: str, seconds: int = WINDOW_SECONDS, expected: Expected = None,
     with_anomalies: bool = False,

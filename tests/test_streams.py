@@ -16,7 +16,7 @@ from meterflow.sources.readings import (
     EVENTS_SCHEMA, ORDER, as_json, bad_json, from_events, out_of_order, readings, with_faults, with_odometer,
 )
 from meterflow.storage import scratch_path
-from meterflow.streaming.anomaly import stream_ema_anomaly
+from meterflow.streaming.anomaly import start_ema_anomaly
 from meterflow.streaming.live import run_live
 from meterflow.streaming.sinks import (
     read_latest, start_archive, start_log, start_push, start_routed,
@@ -57,9 +57,9 @@ def test_window_log_survives_a_restart(spark, sf, halves, tmp_path):
 def test_ema_state_survives_a_restart(spark, sf, halves, tmp_path):
     stream, add_rest = halves
     out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
-    start_log(stream_ema_anomaly(stream), out, mark).awaitTermination()
+    start_ema_anomaly(stream, out, mark).awaitTermination()
     add_rest()
-    start_log(stream_ema_anomaly(stream), out, mark).awaitTermination()
+    start_ema_anomaly(stream, out, mark).awaitTermination()
     want = anomaly.ema_anomaly(readings(spark, sf), order=ORDER)
     cols = ["event_id", "is_anomaly_ema", "ema_baseline"]
     assert same(spark.read.parquet(out).select(*cols), want.select(*cols))
