@@ -1,6 +1,6 @@
 """The registered queries: each runs over the whole tables of a folder."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -286,11 +286,15 @@ def gated_marts(spark, sf):
 
 @query
 def hourly_load(spark, sf):
-    """Raw text to marts, in two loads that overlap by five days."""
+    """Raw text to marts, in three loads: two that overlap by a tenth of the time, and the last hour again."""
     path, out = _archive(spark, sf), scratch_path(spark, "load")
-    stamp = F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz")
-    run_hourly_load(spark, path, out, (datetime(2024, 1, 1), datetime(2024, 1, 20)), stamp)
-    return _mart_totals(run_hourly_load(spark, path, out, (datetime(2024, 1, 15), datetime(2024, 3, 1)), stamp))
+    first, last = readings(spark, sf).agg(F.min("reading_ts"), F.max("reading_ts")).first()
+    hour = timedelta(hours=1)
+    lo, hi = (t.replace(minute=0, second=0, microsecond=0) for t in (first, last + hour))
+    stamp = F.lit(hi).cast("timestamp_ntz")
+    for begin, end in ((lo, lo + (hi - lo) * 0.6), (lo + (hi - lo) * 0.5, hi), (hi - hour, hi)):
+        built = run_hourly_load(spark, path, out, (begin, end), stamp)
+    return _mart_totals(built)
 
 
 @query

@@ -284,3 +284,33 @@ def test_a_cluster_without_shared_folder_is_refused():
     session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError):
         scratch_path(session, "x")
+
+
+def test_a_load_of_one_hour_reads_that_hour_and_renews_its_day_only(spark, sf, tmp_path):
+    """Marts of many loads equal a full rebuild; the day of a late hour is renewed, the others are carried over."""
+    r = readings(spark, sf).filter(F.to_date("reading_ts").between("2024-01-05", "2024-01-08"))
+    path, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    late = (F.to_date("reading_ts") == "2024-01-06") & (F.hour("reading_ts") == 13)
+    archive.write_archive(as_json(with_odometer(r), ["reading_ts"]).filter(~late), path, fmt="text")
+    run_hourly_load(spark, path, out, (dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 9)))
+    archive.write_archive(as_json(with_odometer(r), ["reading_ts"]).filter(late), path, fmt="text")
+    bad = tmp_path / "raw/year=2024/month=01/day=06/hour=13/bad.txt"
+    bad.write_text("{\n")
+    hour = (dt.datetime(2024, 1, 6, 13), dt.datetime(2024, 1, 6, 14))
+    marts = run_hourly_load(spark, path, out, hour)
+    full = build_marts(read_staging(spark, f"{out}/staging"), str(tmp_path / "full"))
+    for name in MARTS:
+        assert same(marts[name], full[name]), name
+    partials = spark.read.parquet(f"{out}/mart-partials/meters")
+    made = partials.groupBy("day", "hour").agg(F.max("made").alias("made")).collect()
+    assert [(str(m.day), str(m.hour)) for m in made if m.made == max(x.made for x in made)] in ([("6", "13")], [("06", "13")])
+    # the hour is loaded again without its readings: its day loses them
+    folder = tmp_path / "raw/year=2024/month=01/day=06/hour=13"
+    for file in folder.glob("*.txt"):
+        file.write_text("")
+    folder.joinpath("new.txt").write_text("{\n")
+    marts = run_hourly_load(spark, path, out, hour)
+    want = staging_from_readings(r.filter(~late))
+    rebuilt = build_marts(want, str(tmp_path / "rest"))
+    for name in MARTS:
+        assert same(marts[name], rebuilt[name]), name
