@@ -165,6 +165,35 @@ def tag_scenarios(df: DataFrame, calendar: Sequence[Mapping] = SCENARIOS) -> Dat
     return df.withColumn("scenario", F.explode(active_scenarios(calendar)))
 
 
+def with_calendar(df: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Add `scenarios`, the names of the calendar's entries that hold a reading, in order and each once.
+
+    An entry (scenario, zone_id, start_ts, end_ts) holds the readings of its zone, or of any if that is
+    NULL or `ALL`, from its start up to but not including its end. Entries may overlap and run over
+    midnight; one without a start, or that ends before it starts, holds none. The calendar is cut
+    into hours and gathered per hour, so the join is on equal hours and gives each reading one
+    row; an hour's list has as many entries as run in it.
+    """
+    hour = F.expr("INTERVAL 1 HOUR")
+    to = F.date_trunc("hour", F.col("end_ts") - F.expr("INTERVAL 1 MICROSECOND"))
+    hours = calendar.filter("end_ts > start_ts AND scenario IS NOT NULL").select(
+        F.struct("scenario", "zone_id", "start_ts", "end_ts").alias("_e"),
+        F.explode(F.sequence(F.date_trunc("hour", "start_ts"), to, hour)).alias("_h"))
+    lists = hours.groupBy(F.col("_h").cast("timestamp_ntz").alias("_hour")).agg(F.collect_list("_e").alias("_entries"))
+    at = F.col("reading_ts")
+
+    def holds(e: Column) -> Column:
+        anywhere = e["zone_id"].isNull() | (e["zone_id"] == "ALL")
+        return (e["start_ts"] <= at) & (at < e["end_ts"]) & (anywhere | F.coalesce(e["zone_id"] == F.col("zone_id"), F.lit(False)))
+
+    names = F.transform(F.filter("_entries", holds), lambda e: e["scenario"])
+    found = F.array_sort(F.array_distinct(names))
+    return (
+        df.withColumn("_hour", hour_start(at)).join(lists, "_hour", "left")
+        .withColumn("scenarios", F.coalesce(found, F.array().cast("array<string>"))).drop("_hour", "_entries")
+    )
+
+
 def scenario_impact(df: DataFrame, calendar: Sequence[Mapping] = SCENARIOS) -> DataFrame:
     """Mean energy inside and outside each scenario, per scenario and affected zone."""
     cases = []

@@ -564,6 +564,19 @@ ORACLES = {
     "stream_zone_windows": ZONE_WINDOWS,
     "stream_zone_delta": ZONE_DELTA,
     "stream_ema_anomaly": EMA_FLAGS,
+    "scenario_calendar": ask(READINGS + """, calendar AS (
+      SELECT 'job-' || (arrival_seq % 70) AS scenario, CASE WHEN arrival_seq % 50 = 0 THEN 'ALL' ELSE zone_id END AS zone_id,
+        reading_ts AS start_ts, reading_ts + to_minutes(CAST(arrival_seq % 1500 AS INTEGER)) AS end_ts
+      FROM readings WHERE arrival_seq % 10 = 0
+    ), hits AS (
+      SELECT DISTINCT r.event_id, scenario FROM readings r JOIN calendar c
+        ON r.reading_ts >= start_ts AND r.reading_ts < end_ts AND c.zone_id IN ('ALL', r.zone_id))""", """
+      SELECT event_id, count(scenario) AS n_scenarios, coalesce(string_agg(scenario, ',' ORDER BY scenario), '') AS scenarios
+      FROM readings LEFT JOIN hits USING (event_id) GROUP BY 1"""),
+    "active_meters_any_range": ask(READINGS, """
+      SELECT zone_id, CAST(reading_ts AS DATE) AS day, count(DISTINCT meter_id) AS active_meters, true AS is_near
+      FROM readings GROUP BY 1, 2
+      UNION SELECT 'ALL', CAST(reading_ts AS DATE), count(DISTINCT meter_id), true FROM readings GROUP BY 2"""),
     "stream_ema_seeded": EMA_FLAGS,
     "stream_silence_alarms": ask(READINGS + f""", gaps AS (
       SELECT *, lead(reading_ts) {BY_METER} AS next_ts, lead(interval_s) {BY_METER} AS next_s FROM readings)""", """

@@ -541,8 +541,12 @@ def latest_window_ranked(spark, sf):
 
 @query
 def last_six_windows(spark, sf):
-    return dashboards.last_windows(windows.zone_window_agg(readings(spark, sf))).select(
-        "zone_id", "window_start_ts", "total_kwh")
+    starts = readings(spark, sf).select(
+        "zone_id", times.floor_window(F.col("reading_ts"), 300).alias("window_start_ts")).distinct()
+    # where the oldest of the wanted windows begins; the measures are read from there on only
+    since = dashboards.last_windows(starts).agg(F.min("window_start_ts")).first()[0]
+    recent = windows.zone_window_agg(readings(spark, sf, since=since))
+    return dashboards.last_windows(recent).select("zone_id", "window_start_ts", "total_kwh")
 
 
 @query
@@ -609,6 +613,37 @@ def scenario_tagged(spark, sf):
         "event_id", "zone_id", "reading_ts", "scenario")
 
 
+@query
+def scenario_calendar(spark, sf):
+    """Readings under a calendar of one entry for each tenth reading: in its zone, or in all."""
+    r = readings(spark, sf)
+    n = F.col("arrival_seq")
+    calendar = r.filter(n % 10 == 0).select(
+        F.concat(F.lit("job-"), (n % 70).cast("string")).alias("scenario"),
+        F.when(n % 50 == 0, "ALL").otherwise(F.col("zone_id")).alias("zone_id"),
+        F.col("reading_ts").alias("start_ts"),
+        (F.col("reading_ts") + F.make_dt_interval(F.lit(0), F.lit(0), (n % 1500).cast("int"))).alias("end_ts"))
+    tagged = analysis.with_calendar(r.select("event_id", "zone_id", "reading_ts"), calendar)
+    return tagged.select("event_id", F.size("scenarios").cast("long").alias("n_scenarios"),
+                         F.array_join("scenarios", ",").alias("scenarios"))
+
+
+@query
+def active_meters_any_range(spark, sf):
+    """Meters per zone and day, and per day over all zones, from window sketches: are they near the exact number?"""
+    r = readings(spark, sf)
+    kept = materialise(windows.meter_sketches(r), "sketches").withColumn("day", F.col("window_start_ts").cast("date"))
+    of_zone = windows.merged_meters(kept, "zone_id", "day")
+    of_all = windows.merged_meters(kept, "day").withColumn("zone_id", F.lit("ALL")).select(of_zone.columns)
+    exact = r.select("zone_id", F.col("reading_ts").cast("date").alias("day"), "meter_id")
+    counted = exact.groupBy("zone_id", "day").agg(F.count_distinct("meter_id").alias("active_meters")).unionByName(
+        exact.groupBy("day").agg(F.count_distinct("meter_id").alias("active_meters")).withColumn("zone_id", F.lit("ALL")))
+    error = 4 * 1.04 / 2 ** (windows.SKETCH_BITS / 2)  # four standard errors
+    near = F.abs(F.col("meters") - F.col("active_meters")) <= error * F.col("active_meters") + 1
+    return of_zone.unionByName(of_all).join(counted, ["zone_id", "day"]).select(
+        "zone_id", "day", "active_meters", near.alias("is_near"))
+
+
 @query
 def scenario_impact(spark, sf):
     return analysis.scenario_impact(readings(spark, sf))

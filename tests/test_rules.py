@@ -304,3 +304,38 @@ def test_the_copy_loaded_first_stays(spark):
     df = spark.createDataFrame(rows, "event_id string, load_ts int, note string").repartition(3)
     assert {r.note for r in raw.dedup(df).collect()} == {"early", "only"}
     assert raw.dedup(df).columns == df.columns
+
+
+# --- calendar and sketches ---------------------------------------------------
+
+def test_calendar_entries_overlap_and_run_over_midnight(spark):
+    at = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)
+    calendar = spark.createDataFrame([
+        ("night", None, at(1, 23), at(2, 2)), ("a", "Z1", at(1, 23, 30), at(1, 23, 31)), ("a", "Z1", at(1, 23, 0), at(2, 0)),
+        ("all", "ALL", at(2, 1), at(2, 1, 30)), ("never", "Z1", at(2, 1), at(2, 1)), ("open", "Z1", at(2, 1), None),
+        (None, "Z1", at(1, 0), at(3, 0)), ("edge", "Z2", at(2, 0), at(2, 1))],
+        "scenario string, zone_id string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    rows = spark.createDataFrame([
+        (1, "Z1", at(1, 23, 30)), (2, "Z2", at(1, 23, 30)), (3, "Z2", at(2, 0)), (4, "Z2", at(2, 1)), (5, "Z1", at(2, 2)),
+        (6, None, at(2, 1, 10)), (7, "Z1", None), (8, "Z1", at(1, 22, 59)), (8, "Z1", at(1, 22, 59))],
+        "id int, zone_id string, reading_ts timestamp_ntz")
+    tagged = analysis.with_calendar(rows, calendar)
+    assert sorted((r.id, r.scenarios) for r in tagged.collect()) == [
+        (1, ["a", "night"]), (2, ["night"]), (3, ["edge", "night"]), (4, ["all", "night"]), (5, []), (6, ["all", "night"]),
+        (7, []), (8, []), (8, [])]
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_sketches_merge_over_windows_and_zones(spark):
+    """20,000 meters, each in several windows: the merged estimate is near the exact number."""
+    df = spark.range(60_000).selectExpr(
+        "concat('M', id % 20000) AS meter_id", "concat('Z', id % 2) AS zone_id",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id % 90000) AS reading_ts")
+    nobody = spark.createDataFrame([(None, "Z9", dt.datetime(2024, 1, 1))], df.schema)
+    kept = windows.meter_sketches(df.unionByName(nobody))
+    whole = windows.merged_meters(kept).first().meters
+    assert abs(whole - 20_000) < 4 * 1.04 / 64 * 20_000
+    by_zone = {r.zone_id: r.meters for r in windows.merged_meters(kept, "zone_id").collect()}
+    assert by_zone["Z9"] == 0 and all(abs(by_zone[z] - 10_000) < 650 for z in ("Z0", "Z1"))
+    assert kept.filter("zone_id = 'Z9'").first().active_meter_count == 0
