@@ -1,24 +1,27 @@
-"""Language-model scores of texts from a weighted backoff automaton.
+"""Language-model scores of texts from a weighted backoff automaton of order 3.
 
-The model has word pairs over words. A state is the word just read, or the empty
-context. A pair that was seen in training is an arc of its first word's state; every
-state has a failure arc to the empty context, whose arcs are the words:
+States are contexts of two words, one word, and none; a context is a state if it was seen in
+training, and the state after a word is the longest such context. Arcs are n-grams
+seen in training, from the state of all their words but the last. Every other state has a failure arc
+to the context without its first word. With S2, S1 as STRENGTHS:
 
-    arc:      (c(h w) + STRENGTH * P(w)) / (c(h) + STRENGTH)
-    failure:  STRENGTH / (c(h) + STRENGTH), followed by the word's arc
-    word:     (c(w) - D) / N, or D * V / N for any word not seen, with D = n1 / (n1 + 2 n2)
+    arc of a state h:  (c(h w) + S * P(w | shorter h)) / (c(h) + S)
+    failure arc:       S / (c(h) + S), followed by what the shorter context says
+    word:              (c(w) - D) / N, or D * V / N for any word not seen, with D = n1 / (n1 + 2 n2)
 
-so the weights of what can follow a state add up to 1. A text is read once from left
-to right; the state is carried along and the logarithms of the arcs taken are added.
+so the weights of what can follow a state add up to 1. A text is read from left to right:
+the state after a word is known from the state before and the word, the arc is taken or failure
+arcs are followed until there is one, and the logarithms are added. As a state is made of the last
+two words, numpy takes the step of every position of a block's texts at once, length by length.
 
 Counts are of the whole corpus and too many for one machine, so the automaton is never
 put together. Texts are dealt into blocks of about BLOCK bytes. Each block asks for
 the counts of its own words and pairs, adding its training counts to the question;
 shards of the code range add up the questions of all blocks and answer them, in the
-order in which they were asked; then each block has the part of the automaton that its
-texts can reach. A question or answer is one row for each block and shard that have to
-do with each other. Words are compared by 64-bit codes, pairs by the 40 bits that
-follow their shard.
+order in which they were asked. Triples are asked for in a second round, but for
+those with a pair that no other block asked for: their counts are the block's own. Then each
+block has the part of the automaton that its texts can reach. A question or answer is one row for each
+block and shard that have to do with each other. Words, pairs and triples are compared by 64-bit codes.
 
 Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; each text ends with an end token.
 Null and empty texts have the end token alone. Without training texts every token
@@ -36,17 +39,18 @@ from pyspark.sql import functions as F
 from meterflow.llm.words import codes_of, joined, mix, schema_with, sliced, with_columns
 
 BLOCK = 8 << 20
-#: Weight of the words' distribution against a state's own counts.
-STRENGTH = 200.0
+#: Weight of the shorter context's distribution against a state's own counts, by the length of the state less 1.
+STRENGTHS = (600.0, 20.0)
 #: Codes of the end token, and of the state in which a text begins.
 END, BEGIN = np.uint64(1), np.uint64(2)
-_PAIR = mix(np.array([3], np.uint64))[0] | np.uint64(1)
-_LOW = np.uint64((1 << 40) - 1)
+_PAIR, _TRIPLE = mix(np.array([3, 5], np.uint64)) | np.uint64(1)
+#: In the answer for a pair: no other block asked for it.
+_ALONE = np.uint32(1 << 31)
 _STATS = ("tokens", "words", "once", "twice")
 
 
 class Tokens:
-    """The tokens of a block's texts, and its distinct words and pairs in the order of their codes."""
+    """The tokens of a block's texts, and its distinct words, pairs and triples in the order of their codes."""
 
     def __init__(self, tables: Iterator[pa.RecordBatch]):
         codes, counts, train = [], [], []
@@ -76,8 +80,23 @@ class Tokens:
         state[self.starts] = at[len(token):]
         self.state = state
         self.word_counts = np.bincount(at, np.concatenate([learn, self.train]), len(self.words)).astype(np.int64)
-        self.pairs, self.pair = np.unique(mix(before * _PAIR + token), return_inverse=True)
+        pair = mix(before * _PAIR + token)
+        self.pairs, self.pair = np.unique(pair, return_inverse=True)
         self.pair_counts = np.bincount(self.pair, learn, len(self.pairs)).astype(np.int64)
+        #: positions with two words before them, the text's beginning counting as one; and the pair there
+        inner = np.ones(len(token), bool)
+        inner[self.starts] = False
+        self.inner = np.flatnonzero(inner)
+        self.context = self.pair[self.inner - 1]
+        self.triples, first, self.triple = np.unique(
+            mix(pair[self.inner - 1] * _TRIPLE + token[self.inner]), return_index=True, return_inverse=True)
+        self.triple_counts = np.bincount(self.triple, learn[self.inner], len(self.triples)).astype(np.int64)
+        #: the two pairs of each triple
+        self.halves = self.context[first], self.pair[self.inner[first]]
+
+    def shared_triples(self, alone: np.ndarray) -> np.ndarray:
+        """Which triples another block may have: those with no pair that is this block's alone."""
+        return ~(alone[self.halves[0]] | alone[self.halves[1]])
 
 
 def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -99,24 +118,38 @@ def _numbers(column: pa.ChunkedArray | pa.Array, dtype) -> tuple[np.ndarray, np.
     return joined(parts, dtype), joined(sizes, np.int64)
 
 
-def _questions(block: int, codes: np.ndarray, counts: np.ndarray, shards: int, pairs: bool) -> Iterator[pa.RecordBatch]:
+def _questions(block: int, codes: np.ndarray, counts: np.ndarray, shards: int, length: int) -> Iterator[pa.RecordBatch]:
+    """Rows for the shards of n-grams of a length; those of longer ones have higher numbers."""
     shard = ((codes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
     asked, first = np.unique(shard, return_index=True)
     bounds = np.append(first, len(codes))
-    low = (codes & _LOW) if pairs else codes
-    key = _binaries((low & np.uint64(0xFFFFFFFF)).astype(np.uint32), bounds)
-    rest = _binaries((low >> np.uint64(32)).astype(np.uint8 if pairs else np.uint32), bounds)
-    # pairs come after the words, and so do their shards
     yield from sliced(pa.RecordBatch.from_arrays(
-        [pa.array(asked + shards * pairs, pa.int64()), pa.array(np.full(len(asked), block), pa.int64()), key, rest,
-         _binaries(counts.astype(np.uint32), bounds)], names=["shard", "block", "key", "rest", "count"]), 16 << 20)
+        [pa.array(asked + shards * (length - 1), pa.int64()), pa.array(np.full(len(asked), block), pa.int64()),
+         _binaries((codes & np.uint64(0xFFFFFFFF)).astype(np.uint32), bounds),
+         _binaries((codes >> np.uint64(32)).astype(np.uint32), bounds), _binaries(counts.astype(np.uint32), bounds)],
+        names=["shard", "block", "key", "rest", "count"]), 16 << 20)
+
+
+_QUESTION = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("key", pa.binary()), ("rest", pa.binary()),
+                       ("count", pa.binary())])
 
 
 def _ask(shards: int):
     def work(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, t = key[0].as_py(), Tokens(batches)
-        yield from _questions(block, t.words, t.word_counts, shards, False)
-        yield from _questions(block, t.pairs, t.pair_counts, shards, True)
+        yield from _questions(block, t.words, t.word_counts, shards, 1)
+        yield from _questions(block, t.pairs, t.pair_counts, shards, 2)
+
+    return work
+
+
+def _ask_again(shards: int):
+    def work(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
+        t = Tokens(docs.to_batches())
+        alone = Answers(t, answers).alone
+        some = t.shared_triples(alone)
+        asked = list(_questions(key[0].as_py(), t.triples[some], t.triple_counts[some], shards, 3))
+        return pa.Table.from_batches(asked, _QUESTION)
 
     return work
 
@@ -124,22 +157,25 @@ def _ask(shards: int):
 def _answer(shards: int):
     def work(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = key[0].as_py()
-        pairs = shard >= shards
+        words, pairs = shard < shards, shards <= shard < 2 * shards
         batches = list(batches)
-        every = lambda name, kind: [_numbers(b.column(name), kind) for b in batches]
-        low, high = every("key", np.uint32), every("rest", np.uint8 if pairs else np.uint32)
+        every = lambda name: [_numbers(b.column(name), np.uint32) for b in batches]
+        low = every("key")
         sizes = joined((n for _, n in low), np.int64)
         codes = joined((k for k, _ in low), np.uint32).astype(np.uint64)
-        codes |= joined((k for k, _ in high), np.uint8).astype(np.uint64) << np.uint64(32)
-        counts = joined((k for k, _ in every("count", np.uint32)), np.uint32)
+        codes |= joined((k for k, _ in every("rest")), np.uint32).astype(np.uint64) << np.uint64(32)
+        counts = joined((k for k, _ in every("count")), np.uint32)
         names, at = np.unique(codes, return_inverse=True)
         total = np.bincount(at, counts, len(names)).astype(np.int64)
-        seen = total if pairs else np.where(names == BEGIN, 0, total)
-        stats = [0 if pairs else int(x) for x in (seen.sum(), (seen > 0).sum(), (seen == 1).sum(), (seen == 2).sum())]
+        seen = np.where(names == BEGIN, 0, total)
+        stats = [int(x) if words else 0 for x in (seen.sum(), (seen > 0).sum(), (seen == 1).sum(), (seen == 2).sum())]
+        answer = total.astype(np.uint32)
+        if pairs:
+            answer |= np.where(np.bincount(at, minlength=len(names)) == 1, _ALONE, np.uint32(0))
         blocks = np.concatenate([b.column("block").to_numpy() for b in batches])
         out = pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(blocks), shard)), pa.array(blocks),
-             _binaries(total[at].astype(np.uint32), np.concatenate([[0], np.cumsum(sizes)]))]
+             _binaries(answer[at], np.concatenate([[0], np.cumsum(sizes)]))]
             # a shard's own figures come once
             + [pa.array([x] + [0] * (len(blocks) - 1), pa.int64()) for x in stats],
             names=["shard", "block", "total", *_STATS])
@@ -148,37 +184,57 @@ def _answer(shards: int):
     return work
 
 
+class Answers:
+    """The corpus counts of a block's words, pairs and triples; of triples only where all answers are there."""
+
+    def __init__(self, t: Tokens, table: pa.Table):
+        total, _ = _numbers(table.sort_by("shard").column("total"), np.uint32)
+        words, pairs, triples = np.split(total, [len(t.words), len(t.words) + len(t.pairs)])
+        self.words, self.alone = words.astype(np.int64), (pairs & _ALONE) > 0
+        self.pairs = (pairs & ~_ALONE).astype(np.int64)
+        self.triples = t.triple_counts.copy()
+        if len(triples):
+            self.triples[t.shared_triples(self.alone)] = triples
+
+
 class Automaton:
     """The part of the automaton that a block's texts can reach."""
 
-    def __init__(self, t: Tokens, words: np.ndarray, pairs: np.ndarray, stats: dict[str, int], strength: float):
+    def __init__(self, t: Tokens, counts: Answers, stats: dict[str, int], strengths: tuple[float, float]):
         n, v = stats["tokens"], stats["words"]
+        one, two = strengths
         discount = stats["once"] / (stats["once"] + 2 * stats["twice"]) if stats["once"] else 0.5
-        word = np.where(words > 0, words - discount, discount * v) / n if n else np.ones(len(words))
-        #: weights of the words' arcs, of the failure arcs by state, and of the pairs' arcs
-        self.word = np.log10(np.maximum(word, 1e-300))
-        self.failure = np.log10(strength / (words + strength))
-        state, to = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+        word = np.where(counts.words > 0, counts.words - discount, discount * v) / n if n else np.ones(len(counts.words))
+        word = np.maximum(word, 1e-300)
+        #: logarithms of the arcs' weights, and of the failure arcs by state; 0 where a context is no state
+        self.word = np.log10(word)
+        state, to = np.zeros(len(counts.pairs), np.int64), np.zeros(len(counts.pairs), np.int64)
         state[t.pair], to[t.pair] = t.state, t.word
-        self.pair = np.log10((pairs + strength * word[to]) / (words[state] + strength))
-        self.seen = pairs > 0
+        pair = (counts.pairs + one * word[to]) / (counts.words[state] + one)
+        self.pair, self.pair_fails = np.log10(pair), np.log10(one / (counts.words + one))
+        context, end = t.halves
+        triple = (counts.triples + two * pair[end]) / (counts.pairs[context] + two)
+        self.triple, self.triple_fails = np.log10(triple), np.log10(two / (counts.pairs + two))
+        self.pair_seen, self.triple_seen = counts.pairs > 0, counts.triples > 0
 
     def read(self, t: Tokens) -> np.ndarray:
-        """The weight of the arcs taken at each token: the pair's, or the failure arc and the word's."""
-        return np.where(self.seen[t.pair], self.pair[t.pair], self.failure[t.state] + self.word[t.word])
+        """The weight of the arcs taken at each token: the state's own, or failure arcs and a shorter context's."""
+        shorter = np.where(self.pair_seen[t.pair], self.pair[t.pair], self.pair_fails[t.state] + self.word[t.word])
+        taken = shorter.copy()
+        taken[t.inner] = np.where(self.triple_seen[t.triple], self.triple[t.triple],
+                                  self.triple_fails[t.context] + shorter[t.inner])
+        return taken
 
 
-def _score(strength: float):
+def _score(strengths: tuple[float, float]):
     def work(docs: pa.Table, answers: pa.Table) -> pa.Table:
         batches = docs.to_batches()
         t = Tokens(batches)
-        answers = answers.sort_by("shard")
-        total, _ = _numbers(answers.column("total"), np.uint32)
-        words, pairs = total[:len(t.words)].astype(np.int64), total[len(t.words):].astype(np.int64)
+        counts = Answers(t, answers)
         stats = {name: answers.column(f"all_{name}")[0].as_py() for name in _STATS}
-        seen = np.add.reduceat((words > 0)[t.word], t.starts)
-        base = np.log10((words[t.word] + 1) / (stats["tokens"] + stats["words"] + 1))
-        score = Automaton(t, words, pairs, stats, strength).read(t)
+        seen = np.add.reduceat((counts.words > 0)[t.word], t.starts)
+        base = np.log10((counts.words[t.word] + 1) / (stats["tokens"] + stats["words"] + 1))
+        score = Automaton(t, counts, stats, strengths).read(t)
         new = dict(n_tokens=pa.array(t.sizes), n_known=pa.array(seen.astype(np.int64)),
                    train_tokens=pa.array(np.full(len(t.sizes), stats["tokens"])),
                    base_score=pa.array(np.add.reduceat(base, t.starts)), score=pa.array(np.add.reduceat(score, t.starts)))
@@ -188,7 +244,7 @@ def _score(strength: float):
     return work
 
 
-def score(docs: DataFrame, train: Column, strength: float = STRENGTH, block: int = BLOCK) -> DataFrame:
+def score(docs: DataFrame, train: Column, strengths: tuple[float, float] = STRENGTHS, block: int = BLOCK) -> DataFrame:
     """`docs` with n_tokens, n_known (of training words), train_tokens, base_score and score (log10).
 
     `train` says which rows the model learns from; null counts as false. base_score is that
@@ -197,12 +253,15 @@ def score(docs: DataFrame, train: Column, strength: float = STRENGTH, block: int
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block))
     dealt = docs.withColumns({"__train": train, "__block": F.pmod(F.xxhash64("text", "doc_id"), F.lit(blocks))})
+    question = "shard long, block long, key binary, rest binary, count binary"
+    answer = "shard long, block long, total binary, " + ", ".join(f"{n} long" for n in _STATS)
     # the same columns as below, so that the texts are shuffled once
-    asked = dealt.groupBy("__block").applyInArrow(
-        _ask(blocks), "shard long, block long, key binary, rest binary, count binary")
-    answers = asked.groupBy("shard").applyInArrow(
-        _answer(blocks), "shard long, block long, total binary, " + ", ".join(f"{n} long" for n in _STATS))
+    asked = dealt.groupBy("__block").applyInArrow(_ask(blocks), question)
+    answers = asked.groupBy("shard").applyInArrow(_answer(blocks), answer)
+    again = dealt.groupBy("__block").cogroup(answers.groupBy("block")).applyInArrow(_ask_again(blocks), question)
+    triples = again.groupBy("shard").applyInArrow(_answer(blocks), answer)
     stats = answers.agg(*[F.sum(n).alias(f"all_{n}") for n in _STATS])
-    answers = answers.select("shard", "block", "total").crossJoin(F.broadcast(stats))  # one row of figures
+    both = answers.unionByName(triples).select("shard", "block", "total")
+    both = both.crossJoin(F.broadcast(stats))  # one row of figures
     schema = schema_with(docs, n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double")
-    return dealt.groupBy("__block").cogroup(answers.groupBy("block")).applyInArrow(_score(strength), schema)
+    return dealt.groupBy("__block").cogroup(both.groupBy("block")).applyInArrow(_score(strengths), schema)
