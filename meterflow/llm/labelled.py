@@ -23,8 +23,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
 
     The choice is by a hash of the id, so it is the same in every run. Rows with
     a null id, or a label other than 0 and 1, are left out; an id that is
-    labelled twice keeps the larger label. The ids are at most 2 * `most`, so
-    they can be broadcast at any size of the tables.
+    labelled twice keeps the larger label, and of the texts of an id the one with
+    the smallest hash is taken. The ids are at most 2 * `most`, so they can be
+    broadcast at any size of the tables.
     """
     usable = (labels.select("doc_id", F.col(label).cast("int").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & keep)
@@ -32,8 +33,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     chosen = (usable.where("label = 0").orderBy(*order).limit(most)
               .union(usable.where("label = 1").orderBy(*order).limit(most)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return materialise(rows.select(F.coalesce("text", F.lit("")).alias("text"), "label"), f"labelled-{label}")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return materialise(one.select("text", "label"), f"labelled-{label}")
 
 
 class Logistic:

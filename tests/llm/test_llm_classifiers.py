@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cases import LONG, ROWS, edge_docs, empty_docs, extras_kept, remainder
 from meterflow.llm import quality, toxicity, url_filter
-from meterflow.llm.labelled import Logistic
+from meterflow.llm.labelled import Logistic, labelled_sample
 from meterflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -116,3 +116,13 @@ def test_urls_of_the_whole_table(spark, sf):
     for r in rows:
         host, path, rule, verdict = plain_url(urls[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (verdict or r.verdict)
+
+
+def test_the_training_sample_is_bounded_in_rows(spark):
+    """Ids that occur thousands of times give one text each."""
+    docs = spark.range(9000).selectExpr("id % 6 AS doc_id", "concat('text ', id) AS text").union(
+        spark.createDataFrame([(7, None), (None, "no id")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)] * 2 + [(None, 1)], "doc_id long, quality int")
+    rows = labelled_sample(docs, labels, "quality", F.lit(True), 3).collect()
+    assert len(rows) <= 6 and {r.label for r in rows} == {0, 1}
+    assert len(labelled_sample(docs, labels, "quality", F.lit(True), 100).collect()) == 7

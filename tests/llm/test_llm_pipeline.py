@@ -21,12 +21,35 @@ def test_query_equals_sql(spark, sf, name):
     assert same, detail
 
 
-def expected(spark, docs, sf):
+def planted():
+    """Near copies on lines of their own, so that they reach the join whole: with 15% of words added, which
+    is near enough by five words and 0.8 but not by three and 0.9, and with 30% added, which isn't."""
+    rows = []
+    for k in range(6):
+        base = [f"w{k}x{i}" for i in range(200)]
+        for j, added in enumerate((0, 30, 60)):
+            text = " ".join(base + [f"n{k}x{j}x{i}" for i in range(added)])
+            rows.append((900_000 + 10 * k + j, text, "en", "src1", len(text)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def planted_sf(spark, sf, tmp_path_factory):
+    """The tables of the pipeline with the planted documents."""
+    folder = str(tmp_path_factory.mktemp("planted"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs.unionByName(spark.createDataFrame(planted(), docs.schema)).write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def expected(spark, docs, sf, percent=80, size=5):
     """(doc_id, text, copies) of the pipeline; the toxicity scores are the operator's, the rest is plain."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     rest = {r.doc_id: r for r in toxicity.score(docs, model).collect() if r.score < toxicity.THRESHOLD}
     text = {i: t for i, _, _, t in lines([(i, r.text) for i, r in rest.items()])}
-    kept = {i for i, _, c in joined(list(text.items())) if i == c}
+    kept = {i for i, _, c in joined(list(text.items()), percent, size) if i == c}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     order = sorted(kept)
     clean = [i for i, (n, h, _) in zip(order, hits([text[i] for i in order], items, 13)) if not (h and 20 * h >= n)]
@@ -36,10 +59,12 @@ def expected(spark, docs, sf):
     return sorted((i, text[i], c) for i, c in copies)
 
 
-def test_pipeline_against_plain_stages(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    got = sorted((r.doc_id, r.text, r.copies) for r in corpus_pipeline.run(spark, sf).collect())
-    assert got == expected(spark, docs, sf)
+def test_pipeline_against_plain_stages(spark, planted_sf):
+    docs = spark.read.parquet(f"{planted_sf}/documents.parquet")
+    got = sorted((r.doc_id, r.text, r.copies) for r in corpus_pipeline.run(spark, planted_sf).collect())
+    assert got == expected(spark, docs, planted_sf)
+    # the rule of the join's own query would keep others, so this test can tell
+    assert got != expected(spark, docs, planted_sf, 90, 3)
 
 
 def test_every_stage_takes_awkward_rows(spark, sf):
