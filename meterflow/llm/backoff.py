@@ -21,7 +21,8 @@ shards of the code range add up the questions of all blocks and answer them, in
 order in which they were asked. Triples are asked for in a second round, but for
 those with a pair that no other block asked for: their counts are the block's own. Then each
 block has the part of the automaton that its texts can reach. A question or answer is one row for each
-block and shard that have to do with each other. Words, pairs and triples are compared by 64-bit codes.
+block and shard that have to do with each other. Words, pairs and triples are compared by 64-bit codes, which
+travel sorted, as the gaps between them.
 
 Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; each text ends with an end token.
 Null and empty texts have the end token alone. Without training texts every token
@@ -38,14 +39,14 @@ from pyspark.sql import functions as F
 
 from meterflow.llm.words import codes_of, joined, mix, schema_with, sliced, with_columns
 
-BLOCK = 8 << 20
+BLOCK = 16 << 20
 #: Weight of the shorter context's distribution against a state's own counts, by the length of the state less 1.
 STRENGTHS = (600.0, 20.0)
 #: Codes of the end token, and of the state in which a text begins.
 END, BEGIN = np.uint64(1), np.uint64(2)
 _PAIR, _TRIPLE = mix(np.array([3, 5], np.uint64)) | np.uint64(1)
-#: In the answer for a pair: no other block asked for it.
-_ALONE = np.uint32(1 << 31)
+#: In an answer: no other block asked for the n-gram, so the block's own count is the corpus's.
+_ALONE = 0x80
 _STATS = ("tokens", "words", "once", "twice")
 
 
@@ -118,20 +119,41 @@ def _numbers(column: pa.ChunkedArray | pa.Array, dtype) -> tuple[np.ndarray, np.
     return joined(parts, dtype), joined(sizes, np.int64)
 
 
+def _short(values: np.ndarray, bounds: np.ndarray, most: int, dtype) -> tuple[pa.Array, pa.Array]:
+    """Numbers in few bytes; of those from `most` on, `most` and in a second column the number itself."""
+    long = values >= most
+    short = np.where(long, most, values).astype(dtype)
+    return _binaries(short, bounds), _binaries(values[long].astype(np.uint32), np.concatenate([[0], np.cumsum(long)])[bounds])
+
+
+def _whole(short: np.ndarray, long: np.ndarray, most: int) -> np.ndarray:
+    out = short.astype(np.int64)
+    out[short == most] = long
+    return out
+
+
+def _first_code(shard: np.ndarray, shards: int) -> np.ndarray:
+    """The smallest code of a shard."""
+    return (-(-(shard << 32) // shards)).astype(np.uint64) << np.uint64(32)
+
+
+#: Codes as gaps, of which 32 bits, 16 bits and, of the few larger ones, all bits from the 32nd; then counts.
+_QUESTION = pa.schema([("shard", pa.int64()), ("block", pa.int64()), *[(c, pa.binary()) for c in (
+    "low", "high", "far", "count", "many")]])
+
+
 def _questions(block: int, codes: np.ndarray, counts: np.ndarray, shards: int, length: int) -> Iterator[pa.RecordBatch]:
     """Rows for the shards of n-grams of a length; those of longer ones have higher numbers."""
     shard = ((codes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
     asked, first = np.unique(shard, return_index=True)
     bounds = np.append(first, len(codes))
+    gaps = np.diff(codes, prepend=np.uint64(0))
+    gaps[first] = codes[first] - _first_code(asked, shards)
     yield from sliced(pa.RecordBatch.from_arrays(
         [pa.array(asked + shards * (length - 1), pa.int64()), pa.array(np.full(len(asked), block), pa.int64()),
-         _binaries((codes & np.uint64(0xFFFFFFFF)).astype(np.uint32), bounds),
-         _binaries((codes >> np.uint64(32)).astype(np.uint32), bounds), _binaries(counts.astype(np.uint32), bounds)],
-        names=["shard", "block", "key", "rest", "count"]), 16 << 20)
-
-
-_QUESTION = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("key", pa.binary()), ("rest", pa.binary()),
-                       ("count", pa.binary())])
+         _binaries((gaps & np.uint64(0xFFFFFFFF)).astype(np.uint32), bounds),
+         *_short((gaps >> np.uint64(32)).astype(np.int64), bounds, 0xFFFF, np.uint16), *_short(counts, bounds, 0xFF, np.uint8)],
+        schema=_QUESTION), 16 << 20)
 
 
 def _ask(shards: int):
@@ -157,28 +179,33 @@ def _ask_again(shards: int):
 def _answer(shards: int):
     def work(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = key[0].as_py()
-        words, pairs = shard < shards, shards <= shard < 2 * shards
         batches = list(batches)
-        every = lambda name: [_numbers(b.column(name), np.uint32) for b in batches]
-        low = every("key")
-        sizes = joined((n for _, n in low), np.int64)
-        codes = joined((k for k, _ in low), np.uint32).astype(np.uint64)
-        codes |= joined((k for k, _ in every("rest")), np.uint32).astype(np.uint64) << np.uint64(32)
-        counts = joined((k for k, _ in every("count")), np.uint32)
+
+        def every(name: str, kind) -> tuple[np.ndarray, np.ndarray]:
+            parts = [_numbers(b.column(name), kind) for b in batches]
+            return joined((p for p, _ in parts), kind), joined((n for _, n in parts), np.int64)
+
+        low, sizes = every("low", np.uint32)
+        high = _whole(every("high", np.uint16)[0], every("far", np.uint32)[0], 0xFFFF)
+        summed = np.cumsum(low + (high.astype(np.uint64) << np.uint64(32)), dtype=np.uint64)
+        starts = np.cumsum(sizes) - sizes
+        before = np.where(starts > 0, summed[starts - 1], np.uint64(0))
+        codes = summed - np.repeat(before, sizes) + _first_code(np.array(shard % shards), shards)
+        counts = _whole(every("count", np.uint8)[0], every("many", np.uint32)[0], 0xFF)
         names, at = np.unique(codes, return_inverse=True)
         total = np.bincount(at, counts, len(names)).astype(np.int64)
         seen = np.where(names == BEGIN, 0, total)
-        stats = [int(x) if words else 0 for x in (seen.sum(), (seen > 0).sum(), (seen == 1).sum(), (seen == 2).sum())]
-        answer = total.astype(np.uint32)
-        if pairs:
-            answer |= np.where(np.bincount(at, minlength=len(names)) == 1, _ALONE, np.uint32(0))
+        stats = [int(x) if shard < shards else 0 for x in (seen.sum(), (seen > 0).sum(), (seen == 1).sum(), (seen == 2).sum())]
+        alone = np.bincount(at, minlength=len(names)) == 1
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        totals, many = _short(np.where(alone, 0, total)[at], bounds, 0x7F, np.uint8)
+        flags = np.frombuffer(totals.buffers()[2], np.uint8) | np.where(alone[at], _ALONE, 0).astype(np.uint8)
         blocks = np.concatenate([b.column("block").to_numpy() for b in batches])
         out = pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(blocks), shard)), pa.array(blocks),
-             _binaries(answer[at], np.concatenate([[0], np.cumsum(sizes)]))]
+            [pa.array(np.full(len(blocks), shard)), pa.array(blocks), _binaries(flags, bounds), many]
             # a shard's own figures come once
             + [pa.array([x] + [0] * (len(blocks) - 1), pa.int64()) for x in stats],
-            names=["shard", "block", "total", *_STATS])
+            names=["shard", "block", "total", "many", *_STATS])
         yield from sliced(out, 16 << 20)
 
     return work
@@ -188,13 +215,18 @@ class Answers:
     """The corpus counts of a block's words, pairs and triples; of triples only where all answers are there."""
 
     def __init__(self, t: Tokens, table: pa.Table):
-        total, _ = _numbers(table.sort_by("shard").column("total"), np.uint32)
-        words, pairs, triples = np.split(total, [len(t.words), len(t.words) + len(t.pairs)])
-        self.words, self.alone = words.astype(np.int64), (pairs & _ALONE) > 0
-        self.pairs = (pairs & ~_ALONE).astype(np.int64)
+        table = table.sort_by("shard")
+        total, many = (_numbers(table.column(c), kind)[0] for c, kind in (("total", np.uint8), ("many", np.uint32)))
+        alone, whole = total == _ALONE, _whole(total, many, 0x7F)
+        parts = [len(t.words), len(t.words) + len(t.pairs)]
+        (words, pairs, triples), own = np.split(whole, parts), np.split(alone, parts)
+        self.words = np.where(own[0], t.word_counts, words)
+        self.alone = own[1]
+        self.pairs = np.where(own[1], t.pair_counts, pairs)
         self.triples = t.triple_counts.copy()
         if len(triples):
-            self.triples[t.shared_triples(self.alone)] = triples
+            some = np.flatnonzero(t.shared_triples(self.alone))
+            self.triples[some] = np.where(own[2], self.triples[some], triples)
 
 
 class Automaton:
@@ -253,15 +285,15 @@ def score(docs: DataFrame, train: Column, strengths: tuple[float, float] = STREN
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block))
     dealt = docs.withColumns({"__train": train, "__block": F.pmod(F.xxhash64("text", "doc_id"), F.lit(blocks))})
-    question = "shard long, block long, key binary, rest binary, count binary"
-    answer = "shard long, block long, total binary, " + ", ".join(f"{n} long" for n in _STATS)
+    question = "shard long, block long, low binary, high binary, far binary, count binary, many binary"
+    answer = "shard long, block long, total binary, many binary, " + ", ".join(f"{n} long" for n in _STATS)
     # the same columns as below, so that the texts are shuffled once
     asked = dealt.groupBy("__block").applyInArrow(_ask(blocks), question)
     answers = asked.groupBy("shard").applyInArrow(_answer(blocks), answer)
     again = dealt.groupBy("__block").cogroup(answers.groupBy("block")).applyInArrow(_ask_again(blocks), question)
     triples = again.groupBy("shard").applyInArrow(_answer(blocks), answer)
     stats = answers.agg(*[F.sum(n).alias(f"all_{n}") for n in _STATS])
-    both = answers.unionByName(triples).select("shard", "block", "total")
+    both = answers.unionByName(triples).select("shard", "block", "total", "many")
     both = both.crossJoin(F.broadcast(stats))  # one row of figures
     schema = schema_with(docs, n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double")
     return dealt.groupBy("__block").cogroup(both.groupBy("block")).applyInArrow(_score(strengths), schema)
