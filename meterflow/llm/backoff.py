@@ -50,6 +50,17 @@ _ALONE = 0x80
 _STATS = ("tokens", "words", "once", "twice")
 
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes in order, each once, and where each of the given ones is among them (a block has under 2^31)."""
+    order = np.argsort(codes).astype(np.int32)
+    ranked = codes[order]
+    head = np.ones(len(codes), bool)
+    head[1:] = ranked[1:] != ranked[:-1]
+    at = np.empty(len(codes), np.int32)
+    at[order] = np.cumsum(head, dtype=np.int32) - 1
+    return ranked[head], at
+
+
 class Tokens:
     """The tokens of a block's texts, and its distinct words, pairs and triples in the order of their codes."""
 
@@ -74,7 +85,7 @@ class Tokens:
         before[self.starts] = BEGIN
         learn = np.repeat(self.train, self.sizes)
         #: the state in which each text begins is the first of the words, as it were
-        self.words, at = np.unique(np.concatenate([token, before[self.starts]]), return_inverse=True)
+        self.words, at = _distinct(np.concatenate([token, before[self.starts]]))
         self.word = at[:len(token)]
         state = np.empty_like(self.word)
         state[1:] = self.word[:-1]
@@ -82,18 +93,21 @@ class Tokens:
         self.state = state
         self.word_counts = np.bincount(at, np.concatenate([learn, self.train]), len(self.words)).astype(np.int64)
         pair = mix(before * _PAIR + token)
-        self.pairs, self.pair = np.unique(pair, return_inverse=True)
+        del before
+        self.pairs, self.pair = _distinct(pair)
         self.pair_counts = np.bincount(self.pair, learn, len(self.pairs)).astype(np.int64)
         #: positions with two words before them, the text's beginning counting as one; and the pair there
         inner = np.ones(len(token), bool)
         inner[self.starts] = False
         self.inner = np.flatnonzero(inner)
         self.context = self.pair[self.inner - 1]
-        self.triples, first, self.triple = np.unique(
-            mix(pair[self.inner - 1] * _TRIPLE + token[self.inner]), return_index=True, return_inverse=True)
+        triple = mix(pair[self.inner - 1] * _TRIPLE + token[self.inner])
+        del pair, token
+        self.triples, self.triple = _distinct(triple)
         self.triple_counts = np.bincount(self.triple, learn[self.inner], len(self.triples)).astype(np.int64)
         #: the two pairs of each triple
-        self.halves = self.context[first], self.pair[self.inner[first]]
+        self.halves = np.empty(len(self.triples), np.int32), np.empty(len(self.triples), np.int32)
+        self.halves[0][self.triple], self.halves[1][self.triple] = self.context, self.pair[self.inner]
 
     def shared_triples(self, alone: np.ndarray) -> np.ndarray:
         """Which triples another block may have: those with no pair that is this block's alone."""
