@@ -2,9 +2,10 @@
 
 Every vector is scaled to length 1, rotated by one random rotation, and kept as
 the signs of its components, packed into bits, with one correction scalar: the
-inner product of the rotated vector and its code. From bits and scalar the inner
-product with a query is estimated without bias, with an error bound that holds for
-nearly all pairs. A task estimates all of its rows, scores those with the best
+inner product of the rotated vector and its code. A rotated query is rounded to whole
+steps and kept as bit planes; counting the bits that a code and each plane share gives
+the inner product of code and query. With the scalar it is an estimate without bias, with an error
+bound that holds for nearly all pairs; what the rounding can change is added to it. A task estimates all of its rows, scores those with the best
 estimates exactly, and then every row whose upper bound reaches the k-th best score
 so far; so the bound, not a cap, decides how many vectors are scored.
 
@@ -31,6 +32,8 @@ SEED = 7
 WIDTH = 1.9
 #: Queries that are sent to the tasks at once, and rows that a task estimates at once.
 QUERY_BLOCK, ROW_BLOCK = 4096, 16_384
+#: Bits that a component of a rotated query is rounded to.
+QUERY_BITS = 8
 
 
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
@@ -49,13 +52,45 @@ def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.packbits(turned > 0, axis=1), np.abs(turned).sum(1) / np.sqrt(vectors.shape[1])
 
 
-def estimate(codes: np.ndarray, scalars: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products of coded rows with rotated unit queries, and each row's error bound."""
-    dim = turned.shape[1]
-    signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1
-    found = (signs @ turned.astype(np.float32).T) / (np.sqrt(dim) * scalars[:, None])
-    spread = np.sqrt(np.maximum(0, 1 - scalars ** 2)) / scalars
-    return found, WIDTH * spread / np.sqrt(max(1, dim - 1)) + 1e-5
+def as_words(codes: np.ndarray) -> np.ndarray:
+    """Packed codes as rows of 64-bit words, filled up with unset bits."""
+    out = np.zeros((len(codes), -(-codes.shape[1] // 8) * 8), np.uint8)
+    out[:, :codes.shape[1]] = codes
+    return out.view(np.uint64)
+
+
+def planes(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rotated unit queries in whole steps: (bit planes of the steps, lowest value, size of a step) of each."""
+    low = turned.min(1)
+    step = np.maximum((turned.max(1) - low) / ((1 << QUERY_BITS) - 1), 1e-12)
+    levels = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
+    bits = np.stack([as_words(np.packbits(levels >> j & 1, axis=1)) for j in range(QUERY_BITS)], axis=1)
+    return bits, low, step
+
+
+class Estimator:
+    """Inner products of coded rows with queries, estimated from packed bits by counting them."""
+
+    def __init__(self, codes: np.ndarray, scalars: np.ndarray, dim: int):
+        self.words, self.dim = as_words(codes), dim
+        self.ones = np.bitwise_count(self.words).sum(1, dtype=np.int64)
+        self.scale = 1 / (np.sqrt(dim) * scalars)
+        self.bound = WIDTH * np.sqrt(np.maximum(0, 1 - scalars ** 2)) / scalars / np.sqrt(max(1, dim - 1)) + 1e-5
+        #: what rounding a query by half a step in each component can change at most
+        self.rounding = dim * self.scale / 2
+
+    def __call__(self, bits: np.ndarray, low: float, step: float) -> tuple[np.ndarray, np.ndarray]:
+        """For one query of `planes`: each row's estimate and error bound."""
+        steps = np.zeros(len(self.words), np.int64)
+        for j, plane in enumerate(bits):
+            steps += np.bitwise_count(self.words & plane).sum(1, dtype=np.int64) << j
+        total = self.dim * low + step * self._levels(bits)
+        return (2 * (low * self.ones + step * steps) - total) * self.scale, self.bound + self.rounding * step
+
+    @staticmethod
+    def _levels(bits: np.ndarray) -> int:
+        """The sum of a query's steps."""
+        return sum(int(np.bitwise_count(plane).sum()) << j for j, plane in enumerate(bits))
 
 
 def usable(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +134,7 @@ class Queries:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.vectors, self.k = ids, vectors, k
         self.norms = np.sqrt((vectors * vectors).sum(1))
-        self.turned = unit(vectors) @ rotation(vectors.shape[1]).T
+        self.planes = planes(unit(vectors) @ rotation(vectors.shape[1]).T) if len(ids) else ()
         self.found = [(np.zeros(0), np.zeros(0, np.int64))] * len(ids)
 
     def _scored(self, q: int, values: np.ndarray, norms: np.ndarray) -> np.ndarray:
@@ -115,9 +150,9 @@ class Queries:
         keep = np.sort(order[np.arange(len(ids)) - start <= k])
         ids, values, codes, scalars = ids[keep], values[keep], codes[keep], scalars[keep]
         norms = np.sqrt((values * values).sum(1))
-        near, bound = estimate(codes, scalars, self.turned)
-        for q, own in enumerate(self.ids):
-            guess = near[:, q]
+        near = Estimator(codes, scalars, values.shape[1])
+        for q, (own, *asked) in enumerate(zip(self.ids, *self.planes)):
+            guess, bound = near(*asked)
             other = ids != own
             first = np.argpartition(-guess, min(8 * k, len(ids) - 1))[:8 * k]
             first = first[other[first]]

@@ -56,13 +56,33 @@ def test_few_candidates_and_empty_table(spark):
     assert nb.nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("dim", [1, 7, 64, 100])
+def test_estimates_from_packed_bits_are_those_of_the_signs(dim):
+    """Counting bits gives the inner product of the unpacked code and the rounded query."""
+    r = np.random.default_rng(dim)
+    rows, queries = r.normal(size=(50, dim)), r.normal(size=(9, dim))
+    turn = nb.rotation(dim)
+    codes, scalars = nb.encode(rows, turn)
+    turned = nb.unit(queries) @ turn.T
+    near = nb.Estimator(codes, scalars, dim)
+    signs = np.unpackbits(codes, axis=1, count=dim) * 2.0 - 1
+    for q, (bits, low, step) in enumerate(zip(*nb.planes(turned))):
+        rounded = low + np.rint((turned[q] - low) / step) * step
+        guess, bound = near(bits, low, step)
+        assert guess == pytest.approx(signs @ rounded / (np.sqrt(dim) * scalars), abs=1e-9)
+        unrounded = signs @ turned[q] / (np.sqrt(dim) * scalars)
+        assert (np.abs(guess - unrounded) <= near.rounding * step + 1e-9).all() and (bound >= near.bound).all()
+
+
 def test_estimates_lie_within_their_bounds():
     r = np.random.default_rng(3)
     rows, queries = r.normal(size=(4000, 64)), r.normal(size=(50, 64))
     turn = nb.rotation(64)
-    guess, bound = nb.estimate(*nb.encode(rows, turn), nb.unit(queries) @ turn.T)
-    wrong = np.abs(guess - nb.unit(rows) @ nb.unit(queries).T) > bound[:, None]
-    assert wrong.mean() < 0.08 and abs((guess - nb.unit(rows) @ nb.unit(queries).T).mean()) < 0.01
+    near = nb.Estimator(*nb.encode(rows, turn), 64)
+    found = [near(*asked) for asked in zip(*nb.planes(nb.unit(queries) @ turn.T))]
+    guess, bound = (np.stack(x, axis=1) for x in zip(*found))
+    off = guess - nb.unit(rows) @ nb.unit(queries).T
+    assert (np.abs(off) > bound).mean() < 0.08 and abs(off.mean()) < 0.01
 
 
 def test_recall_on_the_whole_table(spark, sf):
