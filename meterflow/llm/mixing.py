@@ -9,8 +9,9 @@ need is capped by what its subtree can use.
 A leaf with a budget of e times its tokens plus a rest selects each document e
 times, and once more those in the longest prefix, of no more than the rest, of a
 random order that depends on the seed and on e. The prefix is found without sorting
-a leaf: tokens are summed in buckets of the order, and only the documents of the
-bucket in which the prefix ends are sorted.
+a leaf: tokens are summed in buckets of the order, more of them the more documents the
+largest leaf has, and only the documents of the bucket in which the prefix ends are sorted.
+Tokens are counted once for that, and once more for the documents that are selected.
 
 All numbers are whole, so results are exact. A null in the tree counts as the empty
 text, as does a null id. A leaf without tokens selects nothing. A weight that is
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from meterflow.llm.labelled import text_of
 from meterflow.storage import materialise
 
-#: Hex digits of a document's place in the random order that name its bucket.
-BUCKET_DIGITS = 3
+#: Documents of a leaf that share a bucket of the random order, about, in the largest leaf,
+#: and hex digits of a document's place that name its bucket, at least.
+BUCKET_ROWS, BUCKET_DIGITS = 20_000, 3
 #: Leaves that are broadcast at most; more are joined.
 MOST_LEAVES = 100_000
 
@@ -70,6 +72,24 @@ def budgets(leaves: DataFrame, levels: list[str], weights: DataFrame, total: int
     return leaves.join(out.withColumnRenamed("given", "budget"), levels)
 
 
+def _counted(docs: DataFrame, tokens: Column | None) -> DataFrame:
+    """The rows of `docs` that have tokens, with n_tokens.
+
+    A list of one number is filtered and unfolded: a filter on the column itself would
+    be pushed below it, and the tokens be counted twice.
+    """
+    some = F.filter(F.array(words() if tokens is None else tokens), lambda n: n > 0)
+    return docs.withColumn("n_tokens", F.explode(some))
+
+
+def bucket_digits(rows: int) -> int:
+    """How many hex digits name a bucket, if the largest leaf has this many documents."""
+    digits = BUCKET_DIGITS
+    while rows > BUCKET_ROWS * 16 ** digits:
+        digits += 1
+    return digits
+
+
 def _checked(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MOST_LEAVES else df
 
@@ -83,31 +103,37 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, int], per
     """
     spark: SparkSession = docs.sparkSession
     path = [f"__{n}" for n in levels]
-    placed = docs.drop("n_tokens", "copies").withColumn("n_tokens", words() if tokens is None else tokens)
-    placed = placed.where("n_tokens > 0").withColumns({p: text_of(c) for p, c in zip(path, levels.values())})
-    leaves = materialise(placed.groupBy(*path).agg(F.sum("n_tokens").cast("long").alias("supply")), "leaves")
-    rows, supply = leaves.agg(F.count("*"), F.sum("supply")).first()
+    placed = docs.drop("n_tokens", "copies").withColumns({p: text_of(c) for p, c in zip(path, levels.values())})
+    placed = placed.withColumn("__id", text_of(F.col("doc_id")))
+    # budgets and prefixes are found on a table without texts
+    counted = materialise(_counted(placed, tokens).select(*path, "__id", "n_tokens"), "token-counts")
+    leaves = materialise(counted.groupBy(*path).agg(F.sum("n_tokens").cast("long").alias("supply"),
+                                                    F.count("*").alias("docs")), "leaves")
+    rows, supply, largest = leaves.agg(F.count("*"), F.sum("supply"), F.max("docs")).first()
     given = spark.createDataFrame(list(weights.items()) or [("", 1)], "path string, weight long")
-    plan = budgets(leaves, path, given, (supply or 0) * percent // 100, max_epochs)
+    plan = budgets(leaves.drop("docs"), path, given, (supply or 0) * percent // 100, max_epochs)
     plan = materialise(plan.select(*path, F.expr("budget div supply").cast("int").alias("__epochs"),
                                    F.expr("budget % supply").alias("__rest")), "leaf-plan")
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__epochs").cast("string"), text_of(F.col("doc_id"))))
-    dealt = placed.join(_checked(plan, rows), path).withColumn("__order", order)
-    bucket = F.substring("__order", 1, BUCKET_DIGITS)
-    sums = (dealt.where("__rest > 0").groupBy(*path, "__rest", bucket.alias("__last"))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__epochs").cast("string"), F.col("__id")))
+    bucket = F.substring("__order", 1, bucket_digits(largest or 0))
+    dealt = lambda df: (df.join(_checked(plan, rows), path)
+                        .withColumn("__order", order).withColumn("__bucket", bucket))
+    sums = (dealt(counted).where("__rest > 0").groupBy(*path, "__rest", F.col("__bucket").alias("__last"))
             .agg(F.sum("n_tokens").alias("own"))
             .withColumn("__upto", F.sum("own").over(Window.partitionBy(*path).orderBy("__last"))))
     # the bucket in which the prefix ends, and what it may take of it; all of a leaf's tokens are more than its rest
     ends = materialise(sums.where("__upto > __rest").groupBy(*path)
                        .agg(F.min(F.struct("__last", (F.col("__rest") - F.col("__upto") + F.col("own")).alias("__room")))
                             .alias("e")).select(*path, "e.__last", "e.__room"), "prefix-ends")
-    ended = dealt.join(_checked(ends, rows), path, "left").withColumn("__bucket", bucket)
+    ended = dealt(placed).join(_checked(ends, rows), path, "left")
     inside = F.coalesce(F.col("__bucket") == F.col("__last"), F.lit(False))
     plain = ended.where(~inside).withColumn(
         "copies", F.col("__epochs") + F.coalesce((F.col("__bucket") < F.col("__last")).cast("int"), F.lit(0)))
+    plain = _counted(plain.where("copies > 0"), tokens)
     upto = F.sum("n_tokens").over(Window.partitionBy(*path).orderBy("__order", "n_tokens", "text")
                                   .rowsBetween(Window.unboundedPreceding, 0))
-    sorted_ = ended.where(inside).withColumn("copies", F.col("__epochs") + (upto <= F.col("__room")).cast("int"))
+    sorted_ = _counted(ended.where(inside), tokens).withColumn(
+        "copies", F.col("__epochs") + (upto <= F.col("__room")).cast("int"))
     return (plain.unionByName(sorted_).where("copies > 0")
             .select(*[c for c in docs.columns if c.lower() not in ("n_tokens", "copies")], "n_tokens", "copies"))
 

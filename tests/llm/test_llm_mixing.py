@@ -65,6 +65,19 @@ def test_random_trees(spark, seed, percent, epochs):
     assert mixed(spark, rows, weights, percent, epochs, seed) == plain(rows, weights, percent, epochs, seed)
 
 
+@pytest.mark.parametrize("rows,digits", [(0, 3), (20_000 * 4096, 3), (20_000 * 4096 + 1, 4), (10 ** 10, 5)])
+def test_buckets_grow_with_the_largest_leaf(rows, digits):
+    assert m.bucket_digits(rows) == digits
+
+
+@pytest.mark.parametrize("digits", [1, 2, 6])
+def test_any_number_of_buckets_selects_the_same(spark, monkeypatch, digits):
+    r = random.Random(digits)
+    rows = [(i // 3, " ".join("w" * r.randint(0, 9)), ("a", "x", r.choice("12"))) for i in range(300)]
+    monkeypatch.setattr(m, "BUCKET_DIGITS", digits)
+    assert mixed(spark, rows, {"a/x/1": 3}, 120, 2, 5) == plain(rows, {"a/x/1": 3}, 120, 2, 5)
+
+
 def test_shortage_goes_to_siblings_before_ancestors():
     """The language b/y can use little: its sibling b/x gets the rest, and the domain a nothing of it."""
     got = divided(100, {"a": (1000, 1), "b": (1000, 1)})
