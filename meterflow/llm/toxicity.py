@@ -26,9 +26,9 @@ from meterflow.llm.words import NOT_ALNUM, by_batch, schema_with, text_bytes, wi
 SAMPLE = 10_000
 #: Codes in a window, and in a dictionary at most; bytes of a word's beginning.
 WINDOW, DICTIONARY, STEM = 64, 4096, 5
-#: A code enters a dictionary if this share of the class's documents has it (and
-#: three at least), and it is so many times as frequent there as in the other.
-SHARE, RATIO = 0.01, 30.0
+#: A code enters a dictionary if so many of the class's documents have it, however many
+#: documents there are, and it is so many times as frequent there as in the other.
+LEAST, RATIO = 3, 30.0
 THRESHOLD = 0.7
 #: Bytes that compress to almost nothing, ahead of each window: without them the
 #: library stores a window that would get only a few bytes shorter as it is.
@@ -120,7 +120,7 @@ def _class_counts(rows: DataFrame) -> DataFrame:
 
 def _typical(counts: DataFrame, own: str, other: str, n_own: int, n_other: int) -> bytes:
     """The words typical of a class, the most frequent last, where matches cost least."""
-    chosen = (counts.where((F.col(own) >= max(3.0, SHARE * n_own))
+    chosen = (counts.where((F.col(own) >= LEAST)
                            & (F.col(own) / F.lit(n_own + 1.0) > RATIO * (F.col(other) + 0.5) / F.lit(n_other + 1.0)))
               .orderBy(F.desc(own), "code").limit(DICTIONARY).select("code").collect())
     return np.array([r.code for r in reversed(chosen)], np.int64).tobytes()

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from cases import LONG, ROWS, edge_docs, empty_docs, extras_kept, remainder
@@ -58,6 +59,55 @@ def test_toxic_words_save_bytes():
     assert (found[1:4, :2] == 0).all()
 
 
+def test_features_against_a_plain_loop():
+    """Each window is compressed by fresh compressors with either dictionary."""
+    settings = zstandard.ZstdCompressionParameters(
+        window_log=17, chain_log=15, hash_log=15, search_log=4, min_match=6, target_length=8,
+        strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
+    bad, plain = (toxicity.stream(pa.array([t]))[0].tobytes() for t in ("rotten awful vile", "meadow river garden"))
+
+    def size(window, words):
+        words = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=words, compression_params=settings).compress(bytes(96) + window))
+
+    r = np.random.default_rng(5)
+    pool = ["rotten", "awful", "vile", "meadow", "river", "garden", *(f"word{i}" for i in range(40))]
+    texts = [" ".join(r.choice(pool, n)) for n in (1, 9, 30, 64, 65, 500)] + ["", "vile " * 200]
+    want = []
+    for text in texts:
+        codes = toxicity.stream(pa.array([text]))[0]
+        windows = [codes[i:i + toxicity.WINDOW].tobytes() for i in range(0, len(codes), toxicity.WINDOW)]
+        saved = [size(w, plain) - size(w, bad) for w in windows] or [0]
+        want.append([max(0, *saved, 0), np.log1p(sum(x for x in saved if x > 0)), sum(saved) / max(1, len(codes))])
+    assert toxicity.features(pa.array(texts), toxicity.Compressors(bad, plain)) == pytest.approx(np.array(want))
+
+
+@pytest.mark.parametrize("n", [1_000, 10_000, 1_000_000])
+def test_rare_words_stay_in_the_dictionary_as_texts_grow(spark, n):
+    """Support doesn't get stricter: what 20 toxic texts and no ordinary one hold is learned at any size."""
+    counts = spark.createDataFrame([(1, 20, 0), (2, 2, 0), (3, 40, 20), (4, n // 2, n // 100)],
+                                   "code long, toxic long, ordinary long")
+    chosen = np.frombuffer(toxicity._typical(counts, "toxic", "ordinary", n, n), np.int64).tolist()
+    assert chosen == [1, 4]  # the most frequent last
+
+
+def test_whole_scores_by_all_pairs():
+    """A score of a trained machine, from every pair of its features."""
+    r = np.random.default_rng(6)
+    machine = quality.FactorisationMachine(np.zeros(len(quality.STATISTICS)), np.ones(len(quality.STATISTICS)))
+    machine.linear[:] = r.normal(size=machine.linear.shape)
+    machine.factors[:] = r.normal(size=machine.factors.shape)
+    sizes = [3, 1, 40, 7]
+    index = np.concatenate([r.choice(len(machine.linear), n, replace=False) for n in sizes])
+    x, bounds = r.normal(size=sum(sizes)), np.concatenate([[0], np.cumsum(sizes)])
+    z, _, _ = machine.raw(index, x, bounds)
+    for row, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        own, by = index[a:b], x[a:b]
+        pairs = sum(machine.factors[own[i]] @ machine.factors[own[j]] * by[i] * by[j]
+                    for i in range(len(own)) for j in range(i))
+        assert z[row] == pytest.approx(machine.bias + machine.linear[own] @ by + pairs)
+
+
 def test_pairs_by_the_sum_of_squares_are_all_pairs():
     machine = quality.FactorisationMachine(np.zeros(len(quality.STATISTICS)), np.ones(len(quality.STATISTICS)))
     index, x = np.array([1, 5, 9, 30, 31]), np.array([0.5, -1.0, 2.0, 0.3, 0.7])
