@@ -55,8 +55,8 @@ _FLUSH = 1 << 19
 SIGNED = 90
 #: Sets in a list of which all pairs are made; a longer list is linked to one of them.
 HOT = 128
-#: One text in SAMPLE is counted to find frequent shingles: SEEN times or more, at most MOST_FREQUENT of them (16 MB).
-SAMPLE, SEEN, MOST_FREQUENT = 8, 3, 1_000_000
+#: Shingles that SEEN texts or more have are frequent, at most MOST_FREQUENT of them (16 MB).
+SEEN, MOST_FREQUENT = 24, 1_000_000
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -186,7 +186,7 @@ def _group_links(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted codes of shingles that many of a sample of the texts have, and how many.
+    """The sorted codes of shingles that many of all texts have, and how many.
 
     They only settle the order of shingles, so any answer leads to the same links.
     """
@@ -209,8 +209,8 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
                     held, n = [], 0
         yield from flush()
 
-    some = docs.select("text").where(F.crc32("text") % SAMPLE == 0).mapInArrow(work, "code long, n long")
-    counted = materialise(some.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN), "frequent-shingles")
+    every = docs.select("text").mapInArrow(work, "code long, n long")
+    counted = materialise(every.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN), "frequent-shingles")
     least, total = SEEN, 0
     for row in counted.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect():
         total += row["count"]
@@ -392,10 +392,13 @@ class Search:
         short = len(at) - long
         sizes = sizes[:short]
         where = np.repeat(low[:short] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-        count = np.bincount(self.lists[where] % len(self.sets), minlength=len(self.sets))
-        fits = (self.n * 100 >= n * p) & (n * 100 >= self.n * p)
-        found = np.flatnonzero(fits & (count >= np.maximum(1, self.overlap(n, self.n) - long)))
-        count = count[found]
+        # each list is in order of its sets, and the stable sort merges runs that are in order
+        merged = np.sort(self.lists[where] % len(self.sets), kind="stable")
+        begin = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
+        found, count = merged[begin], np.diff(np.append(begin, len(merged)))
+        size = self.n[found]
+        fits = (size * 100 >= n * p) & (n * 100 >= size * p) & (count >= self.overlap(n, size) - long)
+        found, count = found[fits], count[fits]
         for end in range(len(at), short, -PROBES):
             begin = max(short, end - PROBES)
             keys = at[begin:end, None] * len(self.sets) + found
@@ -582,9 +585,16 @@ def _across_blocks(dealt: DataFrame, links: DataFrame, docs: DataFrame, size: in
 def keep_one(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The document with the smallest id of each component, unchanged; of repeated rows, one.
 
-    Documents without shingles, and those without an id, stay.
+    Of rows with the same id and text, the one with the smallest hash of the other columns
+    stays. Documents without shingles, and those without an id, stay.
     """
-    joined_ = jaccard_components(docs, percent, size)
-    keep = joined_.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    ids = (jaccard_components(docs, percent, size).where("doc_id IS NOT NULL").groupBy("doc_id")
+           .agg(F.count("*").alias("__rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("__kept")))
+    named = docs.join(materialise(ids.where("__kept").drop("__kept"), "kept"), "doc_id")
+    # only rows of repeated ids are compared with each other
+    others = [F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]
+    again = Window.partitionBy("doc_id", "text").orderBy(F.xxhash64(F.lit(0), *others), *others)
+    first = (named.where("__rows > 1").withColumn("__place", F.row_number().over(again))
+             .where("__place = 1").select(docs.columns))
+    return (named.where("__rows = 1").select(docs.columns).unionByName(first)
+            .unionByName(docs.where("doc_id IS NULL").select(docs.columns)))

@@ -144,3 +144,26 @@ def test_near_copies_of_the_pipelines_rule(spark, block):
     rows = near_copies(5, 200) + [(900 + i, " ".join(f"g{k}" for k in range(60) if k != i)) for i in range(60)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
     assert result(j.jaccard_components(docs, 80, 5, block)) == plain(rows, 80, 5)
+
+
+def test_one_of_repeated_rows_whatever_their_order(spark):
+    """Rows of one id that differ in other columns only: always the same one stays; a second text of the id stays too."""
+    rows = [(1, "alpha beta gamma delta", f"v{i}") for i in range(6)] + [(1, "other words for the id", None)] * 2
+    rows += [(2, "ALPHA beta gamma delta", "v"), (3, "words of its own", "v"), (None, "no id at all", "v")]
+    kept = []
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, version string").repartition(3)
+        kept.append(sorted((tuple(r) for r in j.keep_one(docs).collect()), key=str))
+    assert kept[0] == kept[1] == kept[2]
+    assert sorted((r[:2] for r in kept[0]), key=str) == sorted(
+        [(1, "alpha beta gamma delta"), (1, "other words for the id"), (3, "words of its own"), (None, "no id at all")],
+        key=str)
+
+
+def test_frequent_shingles_are_counted_over_all_texts(spark):
+    """In 24 of 500 texts or more is frequent, wherever these texts are."""
+    rows = [(i, f"a{i} b{i} c{i} " + "x y z " * (i % 20 == 0) + "p q r" * (i % 25 == 0)) for i in range(500)]
+    codes, counts = j._frequent(spark.createDataFrame(rows, SCHEMA).repartition(7), 3)
+    wanted = j.shingle_sets(pa.array(["x y z"]))[0]
+    assert codes.tolist() == wanted.tolist() and counts.tolist() == [25]
