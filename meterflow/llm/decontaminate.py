@@ -19,16 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.llm.item_shards import find_in_shards
 from meterflow.llm.labelled import text_of
 from meterflow.llm.shared import Shared
-from meterflow.llm.words import NOT_ALNUM, by_batch, codes_of, schema_with, with_columns, word_spans
+from meterflow.llm.words import NOT_ALNUM, by_batch, codes_of, joined, schema_with, with_columns, word_spans
 
 WINDOW = 13
 #: A text is contaminated if at least one word in COVERAGE is hit.
 COVERAGE = 20
-#: Characters of items in one automaton at most (about 70 MB of memory). More items
-#: are dealt by hash into several automata, and the texts pass through each.
-MOST_CHARS = 1_000_000
+#: Characters of items in one automaton at most (about 70 MB of memory). More items are dealt by
+#: hash into several automata. The texts pass through each if they are MOST_PARTS or fewer; more
+#: aren't broadcast, but get the runs of the texts that they may hold (`item_shards.py`).
+MOST_CHARS, MOST_PARTS = 1_000_000, 8
 
 
 class SuffixAutomaton:
@@ -127,15 +129,21 @@ class SuffixAutomaton:
 class Index:
     """An automaton over word codes, for text columns."""
 
-    def __init__(self, ids: list[str], texts: list[str], window: int):
+    def __init__(self, ids: list[str], sequences: list[np.ndarray], window: int):
+        self.vocabulary = np.unique(joined(sequences, np.uint64))
+        self.automaton = SuffixAutomaton(window).build(
+            (i, np.searchsorted(self.vocabulary, w).tolist()) for i, w in zip(ids, sequences))
+
+    @classmethod
+    def of_texts(cls, ids: list[str], texts: list[str], window: int) -> "Index":
         codes, counts = codes_of(pa.array(texts, pa.string()), NOT_ALNUM)
-        self.vocabulary = np.unique(codes)
-        words = np.split(np.searchsorted(self.vocabulary, codes), np.cumsum(counts)[:-1])
-        self.automaton = SuffixAutomaton(window).build((i, w.tolist()) for i, w in zip(ids, words))
+        return cls(ids, np.split(codes, np.cumsum(counts)[:-1]), window)
 
     def match(self, column: pa.Array):
         """For each text: its number of words, the hit spans (in words) and the items found."""
-        codes, counts = codes_of(column, NOT_ALNUM)
+        return self.match_codes(*codes_of(column, NOT_ALNUM))
+
+    def match_codes(self, codes: np.ndarray, counts: np.ndarray):
         spans, found = [[] for _ in counts], [set() for _ in counts]
         if not len(self.vocabulary) or not len(codes):
             return counts, spans, found
@@ -184,11 +192,13 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     items = items.select(text_of(F.col("item_id")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, -(-chars // MOST_CHARS))
+    if parts > MOST_PARTS:
+        return find_in_shards(docs, items, window, parts, Index, _merged)
     schema = schema_with(docs, n_words="long", n_hit="long", hits="array<long>", items="array<string>")
     out = docs
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id").collect()
-        index = Shared(spark, Index([r.item_id for r in rows], [r.text for r in rows], window))
+        index = Shared(spark, Index.of_texts([r.item_id for r in rows], [r.text for r in rows], window))
 
         def work(batch, index=index, first=part == 0):
             counts, spans, found = index.value.match(batch.column("text"))
