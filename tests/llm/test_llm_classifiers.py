@@ -1,5 +1,7 @@
 """Held-out accuracy and awkward rows of the learned operators."""
 
+import math
+import random
 import re
 
 import numpy as np
@@ -176,3 +178,36 @@ def test_the_training_sample_is_bounded_in_rows(spark):
     rows = labelled_sample(docs, labels, "quality", F.lit(True), 3).collect()
     assert len(rows) <= 6 and {r.label for r in rows} == {0, 1}
     assert len(labelled_sample(docs, labels, "quality", F.lit(True), 100).collect()) == 7
+
+
+def test_lexical_features_against_plain(spark):
+    urls = ["https://www.Example.com/a/b-c/1?x=1&y=2#top", "http://h9.net", "no scheme 12", "", None, "http://a.b-c.org/?q", "x://日本.jp/é/é"]
+    host, path = url_filter.host_and_path(F.col("url"))
+    names = url_filter.lexical(F.col("url"), F.col("host"), F.col("path"))
+    docs = spark.createDataFrame([(u,) for u in urls], "url string").withColumns({"host": host, "path": path})
+    for row in docs.select("url", *[c.alias(n) for n, c in names.items()]).collect():
+        url, (host, path, *_) = row.url or "", plain_url(row.url)
+        n, query = len(url), url.split("?", 1)[1].split("#")[0] if "?" in url else ""
+        shares = [url.count(c) / n for c in set(url)]
+        want = {"__length": n, "__host_length": len(host), "__path_length": len(path), "__depth": path.count("/"),
+                "__labels": host.count("."), "__hyphens": host.count("-"),
+                "__digits": sum(c in "0123456789" for c in url) / n if n else 0, "__entropy": -sum(p * math.log2(p) for p in shares),
+                "__parameters": query.count("&") + 1 if query else 0, "__fragment": float("#" in url),
+                "__secure": float(url.startswith("https:"))}
+        assert {k: row[k] for k in want} == pytest.approx(want, abs=1e-9), url
+
+
+def test_the_trees_learn_what_the_rules_show(spark):
+    """URLs that no rule fits are judged as those of the same look that one fits; hosts don't tell the two apart."""
+    r, rows = random.Random(3), []
+    for i in range(1200):
+        bad = i % 2 == 0
+        ruled = i % 3 > 0
+        folder = ("ads" if bad else "docs") if ruled else "x" * r.choice([3, 4])
+        tail = "".join(r.choices("0123456789", k=20)) + f"?a={i}&b={i}&c=1" if bad else "".join(r.choices("abcdef", k=8))
+        rows.append((i, f"http://s{r.randint(0, 9)}.net/{folder}/{tail}", bad, ruled))
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean, ruled boolean").repartition(4)
+    judged = url_filter.judge(pages, (("net/ads/", "block"), ("net/docs/", "allow"))).collect()
+    assert all((p.rule is not None) == p.ruled for p in judged)
+    unruled = [(p.verdict == "block") == p.bad for p in judged if not p.ruled]
+    assert len(unruled) == 400 and sum(unruled) >= 380
