@@ -10,7 +10,7 @@ from meterflow.functions.meters import zone_partition
 from meterflow.functions.numbers import round_half_up, sum_kwh
 from meterflow.operators import analysis, dashboards, quality, routing, windows
 from meterflow.operators.staging import staging, staging_from_readings, staging_from_text
-from meterflow.sources import legacy, raw
+from meterflow.sources import archive, legacy, raw
 from meterflow.sources.readings import as_json, readings, with_odometer
 
 READING = (
@@ -339,3 +339,20 @@ def test_sketches_merge_over_windows_and_zones(spark):
     by_zone = {r.zone_id: r.meters for r in windows.merged_meters(kept, "zone_id").collect()}
     assert by_zone["Z9"] == 0 and all(abs(by_zone[z] - 10_000) < 650 for z in ("Z0", "Z1"))
     assert kept.filter("zone_id = 'Z9'").first().active_meter_count == 0
+
+
+def test_archive_files_rotate(spark, tmp_path):
+    """An hour of more rows than a file may hold is cut into several files; nothing is lost or in a wrong folder."""
+    hour = "timestamp_ntz'2024-02-03 04:00:00'"
+    rows = spark.range(1000).selectExpr(
+        "id", f"{hour} + make_dt_interval(0, IF(id < 900, 0, 1), 0, id % 3600) AS reading_ts")
+    path = str(tmp_path / "archive")
+    archive.write_archive(rows, path, max_records_per_file=100)
+    files = (spark.read.schema("id long, hour int").json(path)
+             .groupBy("hour", F.input_file_name().alias("file")).agg(F.count("*").alias("n"), F.max("id").alias("last")))
+    kept = {r.hour: (r.rows, r.largest, r.files, r.last) for r in files.groupBy("hour").agg(
+        F.sum("n").alias("rows"), F.max("n").alias("largest"), F.count("*").alias("files"), F.max("last").alias("last")).collect()}
+    assert kept[4][:2] == (900, 100) and kept[4][2] >= 9 and kept[4][3] == 899
+    assert kept[5][0] == 100 and kept[5][1] <= 100 and kept[5][3] == 999
+    archive.write_archive(rows.filter("id < 10"), path, max_records_per_file=100)  # later files are added, none replaced
+    assert spark.read.schema("id long").json(path).count() == 1010
