@@ -170,30 +170,52 @@ def with_calendar(df: DataFrame, calendar: DataFrame) -> DataFrame:
 
     An entry (scenario, zone_id, start_ts, end_ts) holds the readings of its zone, or of any if that is
     NULL or `ALL`, from its start up to but not including its end. Entries may overlap and run over
-    midnight; one without a start, or that ends before it starts, holds none. The calendar is cut
-    into hours and gathered per hour, so the join is on equal hours and gives each reading one
-    row; an hour's list has as many entries as run in it.
+    midnight; one without a start, or that ends before it starts, holds none. The joins are on equal
+    hours, and zones, with the lists of `calendar_stretches`, and give each reading one row; a list
+    has a name as often as its entries leave gaps in the hour, however many of them run in it.
     """
-    hour = F.expr("INTERVAL 1 HOUR")
-    to = F.date_trunc("hour", F.col("end_ts") - F.expr("INTERVAL 1 MICROSECOND"))
-    hours = calendar.filter("end_ts > start_ts AND scenario IS NOT NULL").select(
-        F.struct("scenario", "zone_id", "start_ts", "end_ts").alias("_e"),
-        F.explode(F.sequence(F.date_trunc("hour", "start_ts"), to, hour)).alias("_h"))
-    lists = hours.groupBy(F.col("_h").cast("timestamp_ntz").alias("_hour")).agg(F.collect_list("_e").alias("_entries"))
+    listed = calendar_stretches(calendar).groupBy("_zone", "_hour").agg(
+        F.collect_list(F.struct("scenario", "begins", "ends")).alias("_stretches"))
+    anywhere = listed.filter("_zone IS NULL").select("_hour", F.col("_stretches").alias("_all"))
+    here = listed.filter("_zone IS NOT NULL").withColumnRenamed("_stretches", "_own")
     at = F.col("reading_ts")
 
-    def holds(e: Column) -> Column:
-        anywhere = e["zone_id"].isNull() | (e["zone_id"] == "ALL")
-        return (e["start_ts"] <= at) & (at < e["end_ts"]) & (anywhere | F.coalesce(e["zone_id"] == F.col("zone_id"), F.lit(False)))
+    def names(stretches: str) -> Column:
+        held = F.filter(stretches, lambda s: (s["begins"] <= at) & (at < s["ends"]))
+        return F.coalesce(F.transform(held, lambda s: s["scenario"]), F.array().cast("array<string>"))
 
-    names = F.transform(F.filter("_entries", holds), lambda e: e["scenario"])
-    found = F.array_sort(F.array_distinct(names))
+    found = F.sort_array(F.array_distinct(F.concat(names("_all"), names("_own"))))
     return (
-        df.withColumn("_hour", hour_start(at)).join(lists, "_hour", "left")
-        .withColumn("scenarios", F.coalesce(found, F.array().cast("array<string>"))).drop("_hour", "_entries")
+        df.withColumns({"_hour": hour_start(at), "_zone": F.col("zone_id")})
+        .join(anywhere, "_hour", "left").join(here, ["_zone", "_hour"], "left")
+        .select(*[F.col(c) for c in df.columns], found.alias("scenarios"))
     )
 
 
+def calendar_stretches(calendar: DataFrame) -> DataFrame:
+    """The time that the entries of a name and zone cover together, in stretches that do not touch.
+
+    Stretches (scenario, _zone, _hour, begins, ends) are cut at full hours; `_zone` is NULL where
+    they hold the readings of any zone. Entries that run into an hour begin with it and become one
+    row before any shuffle, so a group sorts no more rows than the hour has times of beginning.
+    """
+    hour = F.expr("INTERVAL 1 HOUR")
+    start, end = (F.col(c).cast("timestamp_ntz") for c in ("start_ts", "end_ts"))
+    cut = calendar.filter("end_ts > start_ts AND scenario IS NOT NULL").select(
+        "scenario", F.nullif("zone_id", F.lit("ALL")).alias("_zone"), start.alias("_start"), end.alias("_end"),
+        F.explode(F.sequence(hour_start(start), hour_start(end - F.expr("INTERVAL 1 MICROSECOND")), hour)).alias("_hour"))
+    key = ["scenario", "_zone", "_hour"]
+    pieces = cut.groupBy(*key, F.greatest("_start", "_hour").alias("begins")).agg(
+        F.max(F.least(F.col("_end"), F.col("_hour") + hour)).alias("ends"))
+    by_begin = Window.partitionBy(*key).orderBy("begins")
+    reached = F.max("ends").over(by_begin.rowsBetween(Window.unboundedPreceding, -1))
+    parted = F.coalesce(F.col("begins") > reached, F.lit(True)).cast("int")
+    numbered = pieces.withColumn("_parted", parted).withColumn(
+        "_stretch", F.sum("_parted").over(by_begin.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*key, "_stretch").agg(
+        F.min("begins").alias("begins"), F.max("ends").alias("ends")).drop("_stretch")
+
+
 def scenario_impact(df: DataFrame, calendar: Sequence[Mapping] = SCENARIOS) -> DataFrame:
     """Mean energy inside and outside each scenario, per scenario and affected zone."""
     cases = []

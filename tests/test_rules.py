@@ -327,6 +327,26 @@ def test_calendar_entries_overlap_and_run_over_midnight(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_calendar_entries_of_a_name_become_stretches(spark):
+    """600 entries in three hours: a list has a name once for each gap; names are those of a plain search."""
+    at = lambda s: dt.datetime(2024, 1, 1, 22) + dt.timedelta(seconds=s)
+    entries = [("busy", "Z1", at(i), at(i + 5000)) for i in range(0, 5000, 10)]
+    entries += [("gaps", z, at(i), at(i + 300)) for z in ("Z1", "ALL", None) for i in range(0, 7200, 900)]
+    entries += [("touch", "Z2", at(i), at(i + 100)) for i in range(0, 7600, 100)]
+    calendar = spark.createDataFrame(
+        entries, "scenario string, zone_id string, start_ts timestamp_ntz, end_ts timestamp_ntz").repartition(3)
+    listed = {(r["scenario"], r["_zone"], r["_hour"]): r["n"] for r in analysis.calendar_stretches(calendar)
+              .groupBy("scenario", "_zone", "_hour").agg(F.count("*").alias("n")).collect()}
+    assert listed == {
+        **{("busy", "Z1", at(h * 3600)): 1 for h in range(3)}, **{("touch", "Z2", at(h * 3600)): 1 for h in range(3)},
+        **{("gaps", z, at(h * 3600)): 4 for z in ("Z1", None) for h in range(2)}}
+    readings = [(i, z, at(i * 97 - 50)) for i in range(110) for z in ("Z1", "Z2", "ALL", None)]
+    tagged = analysis.with_calendar(
+        spark.createDataFrame(readings, "id int, zone_id string, reading_ts timestamp_ntz"), calendar)
+    assert sorted((r.id, str(r.zone_id), r.scenarios) for r in tagged.collect()) == sorted(
+        (i, str(z), sorted({n for n, of, a, b in entries if of in ("ALL", None, z) and a <= t < b})) for i, z, t in readings)
+
+
 def test_sketches_merge_over_windows_and_zones(spark):
     """20,000 meters, each in several windows: the merged estimate is near the exact number."""
     df = spark.range(60_000).selectExpr(
