@@ -11,7 +11,7 @@ from meterflow.functions.times import check_window, floor_window, seconds_interv
 from meterflow.operators.routing import to_push_rows
 from meterflow.operators.windows import Expected, in_window_order, with_demand_delta, with_silent
 from meterflow.schema import EXPECTED_PER_ZONE, WINDOW_SECONDS
-from meterflow.streaming.anomaly import FLAGGED, baselines, flag_batch, keep_baselines
+from meterflow.streaming.anomaly import COLUMNS, FLAGGED, baselines, flag_batch, keep_baselines
 from meterflow.streaming.sources import check_messages
 from meterflow.streaming.state import DayLog, Kept
 from meterflow.streaming.windows import PART_SCHEMA, merged_parts, window_parts, windows_of_parts
@@ -68,7 +68,11 @@ def run_live(
     check_window(seconds)
     tables = LiveTables(out)
     tables.seed(messages.sparkSession, seed)
-    checked = check_messages(messages)
+    checked = check_messages(messages, COLUMNS)
+    # of a usable message a hash stands for its text, and only the fields that flags and parts need are kept
+    unusable = F.col("reason").isNotNull()
+    came = [F.when(unusable, F.col(c)).alias(c) for c in messages.columns]
+    slim = checked.select(*came, "reason", *COLUMNS, F.xxhash64("value").alias("_text"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -76,8 +80,9 @@ def run_live(
         dead = batch.filter(F.col("reason").isNotNull()).select(*messages.columns, "reason")
         dead.write.mode("overwrite").parquet(f"{out}/dead/batch_id={batch_id}")
         usable = batch.filter(F.col("reason").isNull())
-        fresh = _without_copies(spark, usable, tables.flags, batch_id)
+        fresh = _without_copies(spark, usable, tables.flags, batch_id).persist()  # flags read it several times
         flagged = tables.flags.write(flag_batch(fresh, tables.baselines, batch_id), batch_id)
+        fresh.unpersist()
         keep_baselines(flagged, tables.baselines, batch_id)
         tables.flags.publish(spark, batch_id)
         tables.parts.write(window_parts(flagged, seconds, "is_anomaly_ema"), batch_id)
@@ -93,7 +98,7 @@ def run_live(
             deliver(touched, batch_id)
 
     return (
-        checked.writeStream.outputMode("append").foreachBatch(write)
+        slim.writeStream.outputMode("append").foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
@@ -115,10 +120,11 @@ def _hours(rows: DataFrame, ts: str) -> DataFrame:
 
 def _without_copies(spark: SparkSession, usable: DataFrame, flags: DayLog, batch_id: int) -> DataFrame:
     """The first of the readings of an id and hour, if no batch before had it. Without an id none is a copy."""
-    place = F.coalesce("event_id", F.xxhash64("value").cast("string"))
+    place = F.coalesce("event_id", F.col("_text").cast("string"))
     hour = F.date_trunc("hour", "reading_ts")
-    same = Window.partitionBy(place, F.col("event_id").isNull(), hour).orderBy("reading_ts", "arrival_seq", F.xxhash64("value"))
-    once = usable.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1 OR event_id IS NULL").drop("_copy")
+    same = Window.partitionBy(place, F.col("event_id").isNull(), hour).orderBy("reading_ts", "arrival_seq", "_text")
+    numbered = usable.select(*COLUMNS, "_text").withColumn("_copy", F.row_number().over(same))
+    once = numbered.filter("_copy = 1 OR event_id IS NULL").select(*COLUMNS)
     seen = flags.read(spark, batch_id, _hours(usable, "reading_ts")).select(
         F.col("event_id").alias("_id"), F.date_trunc("hour", "reading_ts").alias("_at"))
     return once.join(seen, (F.col("event_id") == F.col("_id")) & (hour == F.col("_at")), "left_anti")

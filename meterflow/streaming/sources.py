@@ -1,10 +1,12 @@
 """Streaming sources of readings."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.schema import READING_SCHEMA
-from meterflow.sources.raw import with_reason
+from meterflow.sources.raw import with_judged
 from meterflow.sources.readings import EVENTS_SCHEMA, from_events
 
 
@@ -37,20 +39,19 @@ def read_stream(
     raise ValueError(f"unknown source {source!r}")
 
 
-def check_messages(messages: DataFrame) -> DataFrame:
+def check_messages(messages: DataFrame, names: Sequence[str] = READING_SCHEMA.names) -> DataFrame:
     """Every message with its typed fields and `reason`, why it cannot be used; NULL if it can.
 
     `arrival_seq` orders the messages of a meter: the offset, and without one the number in the event id.
+    `names` are the fields that are asked for; `timestamp` becomes `reading_ts`.
     """
-    judged = with_reason(messages)
-    fields = {
-        f.name: F.try_variant_get("src", f"$.{f.name}", f.dataType.simpleString())
-        for f in READING_SCHEMA.fields
-    }
-    fields["reading_ts"] = fields.pop("timestamp").try_cast("timestamp_ntz")
+    judged = with_judged(messages, [*names, "event_id", "timestamp"])
+    fields = {name: F.col(f"fields.{name}") for name in READING_SCHEMA.names if name in names}
+    fields.pop("timestamp", None)
+    fields["reading_ts"] = F.col("fields.timestamp").try_cast("timestamp_ntz")
     typed = [value.alias(name) for name, value in fields.items()]
-    seq = F.coalesce("offset", F.col("event_id").try_cast("long"))
-    return judged.select(*messages.columns, "reason", *typed).withColumn("arrival_seq", seq)
+    seq = F.coalesce("offset", F.col("fields.event_id").try_cast("long"))
+    return judged.select(*messages.columns, "reason", *typed, seq.alias("arrival_seq"))
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:

@@ -10,8 +10,10 @@ from meterflow.functions.meters import zone_partition
 from meterflow.functions.numbers import round_half_up, sum_kwh
 from meterflow.operators import analysis, dashboards, quality, routing, windows
 from meterflow.operators.staging import staging, staging_from_readings, staging_from_text
+from meterflow.schema import READING_SCHEMA
 from meterflow.sources import archive, legacy, raw
 from meterflow.sources.readings import as_json, readings, with_odometer
+from meterflow.streaming.sources import check_messages
 
 READING = (
     "event_id string, meter_id string, zone_id string, customer_type string, "
@@ -195,6 +197,26 @@ def test_quarantine_reasons(spark, text, reason):
     assert raw.usable(df).count() == (0 if reason else 1)
 
 
+def test_fields_are_read_in_one_pass(spark):
+    """The fields are those of a look-up of each alone, and the plan has one pass for all of them."""
+    odd = [GOOD, GOOD[:30], None, "[1, 2]", "7", "null", "{}", GOOD.replace('"M"', "12.50"), GOOD.replace("120.0", '"120"'),
+           GOOD.replace("120.0", "[1]"), GOOD.replace("60.0", "1e400"), GOOD.replace('"normal"', '{"a":[1,null]}'),
+           GOOD.replace('"e"', "17"), GOOD.replace('"e"', "null"), GOOD.replace('"e"', '"17"'), GOOD.replace("voltage", "Voltage"),
+           GOOD[:-1] + ',"signal_strength_dbm":99999999999,"is_anomaly":"true","other":{"voltage":1}}']
+    messages = spark.createDataFrame([(t, None) for t in odd], "value string, offset long")
+    names = [f.name for f in READING_SCHEMA.fields if f.name != "timestamp"]
+    checked = check_messages(messages)
+    alone = raw.with_src(messages).select("value", *[
+        F.try_variant_get("src", f"$.{n}", READING_SCHEMA[n].dataType.simpleString()).alias(n) for n in names])
+    assert sorted(map(repr, checked.select("value", *names).collect())) == sorted(map(repr, alone.collect()))
+    few = check_messages(messages, ["voltage"])
+    assert few.columns == ["value", "offset", "reason", "voltage", "reading_ts", "arrival_seq"]
+    kept = few.columns
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, checked.select(kept).collect()))
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_variant_get(") == 1
+
+
 def test_fill_defaults(spark):
     df = spark.createDataFrame(
         [(None,) * 6], "kwh_delta double, power_kw double, power_factor double, voltage double, "
