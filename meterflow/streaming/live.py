@@ -12,7 +12,7 @@ from meterflow.operators.routing import to_push_rows
 from meterflow.operators.windows import Expected, in_window_order, with_demand_delta, with_silent
 from meterflow.schema import EXPECTED_PER_ZONE, WINDOW_SECONDS
 from meterflow.streaming.anomaly import COLUMNS, FLAGGED, baselines, flag_batch, keep_baselines
-from meterflow.streaming.sources import check_messages
+from meterflow.streaming.sources import check_messages, zone_key
 from meterflow.streaming.state import DayLog, Kept
 from meterflow.streaming.windows import PART_SCHEMA, merged_parts, window_parts, windows_of_parts
 
@@ -51,7 +51,7 @@ def run_live(
 
     Below `out` come, with a folder for each micro-batch:
 
-    - `dead`: unusable messages and the reason;
+    - `dead`: unusable messages and the reason; those that come without a `key` get their zone;
     - `flags`: each reading once, with its anomaly flag. A message delivered again, in the same
       batch or any later one, is a copy if a reading of its id and hour is there. The average
       begins in the baselines of `seed`;
@@ -71,13 +71,15 @@ def run_live(
     checked = check_messages(messages, COLUMNS)
     # of a usable message a hash stands for its text, and only the fields that flags and parts need are kept
     unusable = F.col("reason").isNotNull()
-    came = [F.when(unusable, F.col(c)).alias(c) for c in messages.columns]
+    own = {} if "key" in messages.columns else {"key": zone_key()}
+    own.update({c: F.col(c) for c in messages.columns})
+    came = [F.when(unusable, value).alias(c) for c, value in own.items()]
     slim = checked.select(*came, "reason", *COLUMNS, F.xxhash64("value").alias("_text"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
-        dead = batch.filter(F.col("reason").isNotNull()).select(*messages.columns, "reason")
+        dead = batch.filter(F.col("reason").isNotNull()).select(*own, "reason")
         dead.write.mode("overwrite").parquet(f"{out}/dead/batch_id={batch_id}")
         usable = batch.filter(F.col("reason").isNull())
         fresh = _without_copies(spark, usable, tables.flags, batch_id).persist()  # flags read it several times

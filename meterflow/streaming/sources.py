@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.schema import READING_SCHEMA
@@ -13,13 +13,14 @@ from meterflow.sources.readings import EVENTS_SCHEMA, from_events
 def read_stream(
     spark: SparkSession, source: str, *, path: str | None = None, servers: str | None = None,
     topic: str = "meter.readings", starting: str = "earliest", max_files: int = 1000,
-    max_offsets: int = 5_000_000,
+    max_offsets: int = 5_000_000, keyed: bool = True,
 ) -> DataFrame:
     """Messages as `key` and `value` text, with their `partition`, `offset` and time of arrival.
 
     `source="kafka"` reads a topic (its package has to be on the class path);
     `source="files"` replays JSON Lines below `path`, keyed by zone, where the
-    last three are NULL. Both limit what one micro-batch takes in.
+    last three are NULL. Without `keyed` they have no `key`, for which each text would be
+    parsed. Both limit what one micro-batch takes in.
     """
     if source == "kafka":
         messages = (
@@ -33,12 +34,17 @@ def read_stream(
     if source == "files":
         lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
         return lines.select(
-            F.get_json_object("value", "$.zone_id").alias("key"), "value",
+            *([zone_key()] if keyed else []), "value",
             F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset"),
             F.lit(None).cast("timestamp").alias("arrived"))
     raise ValueError(f"unknown source {source!r}")
 
 
+def zone_key() -> Column:
+    """The zone of a message as its `key`."""
+    return F.get_json_object("value", "$.zone_id").alias("key")
+
+
 def check_messages(messages: DataFrame, names: Sequence[str] = READING_SCHEMA.names) -> DataFrame:
     """Every message with its typed fields and `reason`, why it cannot be used; NULL if it can.
 

@@ -248,6 +248,28 @@ def test_live_path_over_batches_and_a_restart(spark, sf, tmp_path):
     assert [i for i, _ in seen] == [0, 1, 2] and all(n > 0 for _, n in seen)
 
 
+def test_only_dead_letters_are_keyed_on_the_live_path(spark, tmp_path):
+    """Messages that come without a key leave the same dead letters and flags, key included."""
+    text = ('{"event_id":"%s","meter_id":"M","zone_id":"%s","timestamp":"2024-01-01T00:00:0%sZ","kwh_delta":1.5,'
+            '"voltage":120.0,"power_factor":0.9,"power_kw":%s,"frequency_hz":60.0,"meter_state":"normal"}')
+    texts = [text % (1, "A", 1, "2.0"), text % (2, "B", 2, "null"), text % (3, "C", "x", "2.0"), "{", '{"zone_id":7}']
+    topic = str(tmp_path / "topic")
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.text(topic)
+    found = {}
+    for keyed in (True, False):
+        messages = read_stream(spark, "files", path=topic, keyed=keyed)
+        assert ("key" in messages.columns) == keyed
+        out = str(tmp_path / f"out-{keyed}")
+        run_live(messages, out, f"{out}-mark").awaitTermination()
+        found[keyed] = [spark.read.parquet(f"{out}/{name}") for name in ("dead", "flags")]
+    (dead, flags), (dead_unkeyed, flags_unkeyed) = found[True], found[False]
+    assert dead_unkeyed.columns == dead.columns
+    assert same(dead_unkeyed, dead) and same(flags_unkeyed, flags)
+    assert sorted((r.key or "", r.reason) for r in dead_unkeyed.collect()) == [
+        ("", "bad_json"), ("7", "missing_keys"), ("B", "null_required"), ("C", "bad_timestamp")]
+    assert [r.event_id for r in flags_unkeyed.collect()] == ["1"]
+
+
 def test_a_batch_that_runs_again_counts_once(spark, sf, tmp_path):
     """As after a lost driver: the same messages come again as the same batch."""
     topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
